@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("ingest",)
+AREAS = ("ingest", "semantic")
 
 
 def load_products():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from outpulse.catalog.base_sql import band, ratio, tier
+from outpulse.catalog.base_sql import CONTENT_LEVEL, band, ratio, tier
 from outpulse.catalog.registry import SHARED_SQL, product
 from outpulse.operators import upsert
 from outpulse.plans import ingest
@@ -177,11 +177,8 @@ def _(spark, d):
 @product(
     "template_dimension",
     "template template_id category tags:j tag_count:i body_length:i content_level owner",
-    """SELECT t.template, 'CAP_' || t.template AS template_id, category, tags, len(tags) AS tag_count, length(body) AS body_length,
-      CASE WHEN regexp_matches(lower(body), '\\b(nsfw|adult|explicit)\\b') THEN 'explicit'
-           WHEN regexp_matches(lower(body), '\\b(tease|flirt|intimate|buy|unlock|tip|bundle|sale|special|discount|exclusive|vip|premium|ppv|pay per view)\\b') THEN 'moderate'
-           WHEN regexp_matches(lower(body), '\\b(cute|sweet|hello|hi|good morning|good night|love|heart|beautiful|gorgeous|amazing|wonderful)\\b') THEN 'mild'
-           ELSE 'pending_review' END AS content_level, owner
+    f"""SELECT t.template, 'CAP_' || t.template AS template_id, category, tags, len(tags) AS tag_count, length(body) AS body_length,
+      {CONTENT_LEVEL} AS content_level, owner
     FROM (SELECT *, list_sort(list_distinct(list_filter(regexp_extract_all(lower(body), '#(\\w+)', 1), lambda x: length(x) > 2))) AS tags FROM c_templates) t
     LEFT JOIN (SELECT template, max_by(account, (sent_at, message_id)) AS owner FROM c_facts GROUP BY 1) o USING (template)""",
 )

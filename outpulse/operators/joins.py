@@ -6,18 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's own size estimate of a plan (an upper bound for scans,
+    projections and aggregates; nothing is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower()
+    limit = int("".join(ch for ch in text if ch.isdigit() or ch == "-") or -1)
+    for unit, power in (("k", 10), ("m", 20), ("g", 30)):
+        if unit in text:
+            limit <<= power
+    return 0 <= estimated_bytes(df) <= limit
+
+
 def salted_lookup(
     left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", salts: int = 16
 ) -> DataFrame:
     """Join many rows to at most one row per key.
 
-    Every left row takes a salt from its own content and the right side is
-    repeated once per salt, so a key with a third of all rows is spread over
-    ``salts`` tasks.  The salt is a hash of the row, never ``rand()``: a task
-    that runs again after a lost executor sends its rows to the same place.
-    A right side small enough for AQE's broadcast threshold is still broadcast
-    by Spark itself.
+    A right side whose estimated size is under the broadcast threshold is
+    joined plainly: Spark broadcasts it, so no key gathers anywhere.  Beyond
+    that every left row takes a salt from its own content and the right side
+    is repeated once per salt, so a key with a third of all rows is spread
+    over ``salts`` tasks.  The salt is a hash of the row, never ``rand()``: a
+    task that runs again after a lost executor sends its rows to the same place.
     """
+    if fits_broadcast(right):
+        return left.join(right, keys, how)
     hashed = [c for c, t in left.dtypes if not t.startswith("map")]
     l = left.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
     r = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -32,9 +49,10 @@ def group_stats(df: DataFrame, keys: list[str], **aggregates) -> DataFrame:
 
 
 def overall(df: DataFrame, **aggregates) -> dict:
-    """One-row aggregates as scalar subqueries, usable inside any expression."""
-    row = df.agg(*[c.alias(n) for n, c in aggregates.items()])
-    return {n: row.select(n).scalar() for n in aggregates}
+    """One-row aggregates as parts of a single scalar subquery, usable inside
+    any expression.  One struct means one pass: equal subqueries are reused."""
+    row = df.agg(F.struct(*[c.alias(n) for n, c in aggregates.items()]).alias("s")).scalar()
+    return {n: row.getField(n) for n in aggregates}
 
 
 def absent_from(df: DataFrame, *lookups: tuple[DataFrame, list[str]]) -> DataFrame:

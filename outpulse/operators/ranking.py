@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from outpulse.operators.joins import overall
 from outpulse.session import stabilise
 
 
@@ -25,10 +26,13 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return top_k(df, keys, order, 1, "_first").drop("_first")
 
 
+HOT_ROWS = 1_000_000
+
+
 def with_ranks(
     df: DataFrame,
     specs: list[tuple[str, list[str], str]],
-    buckets: int = 64,
+    buckets: int | None = None,
     salts: int = 16,
     descending: bool = False,
     stable: bool = False,
@@ -38,67 +42,63 @@ def with_ranks(
     Adds ``<name>_rank`` and ``<name>_n``.  Values are cut at quantiles of the
     whole column; a row is ranked inside its (key, bucket) and the sizes of the
     lower buckets are added.  Values equal to a cut get a bucket of their own:
-    they tie, so they need no sorting and are salted.  No sort therefore sees
+    they tie, so they need no sorting, and where the cut repeats (the value
+    holds a large share of the rows) they are salted.  No sort therefore sees
     more than about 1/buckets of the rows, whatever share one key or one value
-    has.  NULLs rank first.
+    has; by default there are twice as many buckets as partitions.  NULLs rank
+    first.
     """
     out = df if stable else stabilise(df)
+    if buckets is None:
+        buckets = min(1024, max(16, 2 * out.rdd.getNumPartitions()))
+    points = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
+    values = list(dict.fromkeys(value for _, _, value in specs))
+    facts = overall(
+        out,
+        rows=F.count(F.lit(1)),
+        **{f"cuts_{c}": F.percentile_approx(F.col(c).cast("double"), points, F.lit(20 * buckets)) for c in values},
+        **{f"nulls_{c}": F.count_if(F.col(c).isNull()) for c in values},
+    )
     for name, keys, value in specs:
-        v = F.col(value)
-        points = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
-        cuts = F.coalesce(
-            out.agg(F.percentile_approx(v.cast("double"), points, F.lit(20 * buckets)).alias("c"))
-            .select("c")
-            .scalar(),
-            F.array().cast("array<double>"),
+        v = F.col(value).cast("double")
+        cuts = F.coalesce(facts[f"cuts_{value}"], F.array().cast("array<double>"))
+        # Odd buckets hold one value (a cut), even ones an open interval, -1 NULL.
+        bucket = F.when(v.isNull(), F.lit(-1)).otherwise(
+            2 * F.size(F.filter("_cuts", lambda c: c < v))
+            + F.array_contains("_cuts", F.coalesce(v, F.lit(0.0))).cast("int")
         )
-        on_cut = F.coalesce(F.array_contains(F.col("_cuts"), v.cast("double")), F.lit(False))
-        marked = (
-            out.withColumn("_cuts", cuts)
-            .withColumn(
-                "_b",
-                2 * F.size(F.filter("_cuts", lambda c: c < v.cast("double")))
-                + F.when(on_cut, 1).otherwise(0),
-            )
-            .withColumn(
-                "_s",
-                F.when(
-                    on_cut | v.isNull(),
-                    F.pmod(F.xxhash64(*out.columns), F.lit(salts)).cast("int"),
-                ).otherwise(0),
-            )
-            .drop("_cuts")
+        marked = out.withColumn("_cuts", cuts).withColumn("_b", bucket)
+        cut = F.get("_cuts", F.expr("cast((_b - 1) div 2 AS int)"))
+        repeats = F.size(F.filter("_cuts", lambda c: c == cut))
+        heavy = F.when(F.col("_b") == -1, facts[f"nulls_{value}"] > HOT_ROWS).when(
+            F.col("_b") % 2 == 1, facts["rows"] * repeats / buckets > HOT_ROWS
         )
-        # NULLs get a bucket of their own below every value: they tie as well.
-        marked = marked.withColumn("_b", F.when(v.isNull(), F.lit(-1)).otherwise(F.col("_b")))
-        sizes = marked.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+        salted = F.when(heavy, F.lit(salts)).otherwise(F.lit(1))
+        ranked = marked.withColumn("_s", F.pmod(F.xxhash64(*out.columns), salted).cast("int")).drop("_cuts")
+        inside = Window.partitionBy(*keys, "_b", "_s").orderBy(v.desc() if descending else v.asc())
+        ranked = ranked.withColumn("_in", F.rank().over(inside))
+
         in_key = Window.partitionBy(*(keys or [F.lit(0)]))
         by_bucket = in_key.orderBy(F.col("_b").desc() if descending else F.col("_b"))
+        lower = F.sum("_c").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1))
+        renamed = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
         offsets = (
-            sizes.withColumn(
-                "_below",
-                F.coalesce(
-                    F.sum("_c").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-                ),
-            )
+            marked.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn("_below", F.coalesce(lower, F.lit(0)))
             .withColumn(f"{name}_n", F.sum("_c").over(in_key))
-            .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-            .drop("_c")
+            .withColumn("_cuts", cuts)
+            .select(
+                *renamed, F.col("_b").alias("_ob"), "_below", f"{name}_n",
+                F.explode(F.sequence(F.lit(0), salted - 1)).alias("_os"),
+            )
         )
-        inside = Window.partitionBy(*keys, "_b", "_s").orderBy(v.desc() if descending else v.asc())
-        ranked = marked.withColumn("_in", F.rank().over(inside))
-        same = None
-        o = offsets
-        for k in keys:
-            o = o.withColumnRenamed(k, f"_k_{k}")
-        o = o.withColumnRenamed("_b", "_ob").withColumnRenamed("_s", "_os")
         same = (F.col("_b") == F.col("_ob")) & (F.col("_s") == F.col("_os"))
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
         out = (
-            ranked.join(o, same, "left")
+            ranked.join(offsets, same, "left")
             .withColumn(f"{name}_rank", (F.col("_below") + F.col("_in")).cast("long"))
-            .drop("_b", "_s", "_ob", "_os", "_in", "_below", *[f"_k_{k}" for k in keys])
+            .drop("_b", "_s", "_ob", "_os", "_in", "_below", *[f"_k{i}" for i in range(len(keys))])
         )
     return out
 
