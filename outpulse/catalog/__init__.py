@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("ingest", "semantic")
+AREAS = ("ingest", "semantic", "ranking", "planning")
 
 
 def load_products():

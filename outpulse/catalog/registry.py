@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from outpulse.session import stabilise
+
 PRODUCTS: dict[str, "Product"] = {}
 SHARED_SQL: dict[str, str] = {}
 # Shown reals are nudged before rounding, on both sides: engines disagree on
@@ -84,3 +86,22 @@ def product(name: str, shape: str, sql: str | None = None):
         return fn
 
     return register
+
+
+_LAYERS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def layer(name: str):
+    """Mark a builder as a stored layer: like a table of the warehouse it is
+    materialised once per session and folder, and later queries read it."""
+
+    def wrap(build):
+        def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+            key = (spark.sparkContext.applicationId, sf_dir, name)
+            if key not in _LAYERS:
+                _LAYERS[key] = stabilise(build(spark, sf_dir))
+            return _LAYERS[key]
+
+        return read
+
+    return wrap

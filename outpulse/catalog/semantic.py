@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from outpulse.catalog.base_sql import ratio
-from outpulse.catalog.registry import SHARED_SQL, product
+from outpulse.catalog.registry import SHARED_SQL, layer, product
 from outpulse.plans import ingest, semantic
 from outpulse.sources import driver_tables as src
 
@@ -28,10 +28,12 @@ def features(spark, d):
     return semantic.template_features(src.spread(src.templates(spark, d), "template"))
 
 
+@layer("used_features")
 def used_features(spark, d):
     return semantic.template_features(semantic.in_play(src.templates(spark, d), facts(spark, d)))
 
 
+@layer("daily_performance")
 def daily(spark, d):
     return semantic.daily_performance(
         facts(spark, d), src.accounts(spark, d), src.templates(spark, d), AS_OF

@@ -14,8 +14,15 @@ SALES_AS_OF = "2001-12-01 00:00:00"
 REGION_ZONES = ("America/New_York", "UTC", "Europe/Paris", "Asia/Tokyo", "America/Denver")
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan of one table; its footers are read once per session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 def send_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
