@@ -228,7 +228,7 @@ SHARED_SQL["c_bumps"] = f"""
 SELECT account, date_local, slot_rank, level, step, CASE WHEN step = 0 THEN 'pre_teaser' ELSE 'followup' END AS activity,
   planned_local + to_minutes(low + {hash_int(*_KEY)} % (high - low + 1) + {_jitter(45, *_KEY, "'J'")}) AS planned_local,
   scheduled_utc + to_minutes(low + {hash_int(*_KEY)} % (high - low + 1) + {_jitter(45, *_KEY, "'J'")}) AS scheduled_utc
-FROM (SELECT *, CASE WHEN price >= coalesce(p90, price) THEN 'premium' WHEN price >= coalesce(p50, price) THEN 'mid' ELSE 'teaser' END AS level FROM (SELECT * EXCLUDE (step) FROM c_plan) WHERE price > 0)
+FROM (SELECT *, CASE WHEN price >= coalesce(p90, price) THEN 'premium' WHEN price >= coalesce(p50, price) THEN 'mid' ELSE 'teaser' END AS level FROM (SELECT account, date_local, slot_rank, price, planned_local, scheduled_utc FROM c_plan) LEFT JOIN c_price_profile USING (account) WHERE price > 0)
 JOIN (VALUES ('teaser', 1, 20, 45), ('mid', 0, -20, -15), ('mid', 1, 15, 20), ('mid', 2, 45, 45), ('premium', 0, -20, -15), ('premium', 1, 20, 30), ('premium', 2, 40, 55))
   r(level, step, low, high) USING (level)"""
 
@@ -497,7 +497,7 @@ def _(spark, d):
     return weighted(spark, d)
 
 
-_PB = "CASE tier || page_type " + " ".join(f"WHEN '{t}{p}' THEN {{{i}}}" for i, (t, p) in enumerate(slots.PRICE_BANDS)) + " END"
+_PB = "CASE tier || w.page_type " + " ".join(f"WHEN '{t}{p}' THEN {{{i}}}" for i, (t, p) in enumerate(slots.PRICE_BANDS)) + " END"
 
 
 def _band(which: int) -> str:

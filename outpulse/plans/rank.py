@@ -342,7 +342,7 @@ def smart_cooldowns(
     page = accounts.select("account", "account_page")
     keyed = salted_lookup(ranked, page, ["account_page"], "inner")
     q = overall(
-        keyed, **{n: F.percentile_approx(c, F.lit(x), F.lit(10000)) for n, c, x in (("rps75", "rps_eb", 0.75), ("rps90", "rps_eb", 0.9), ("score75", "score", 0.75))}
+        keyed, **{n: F.percentile_approx(c, F.lit(x), F.lit(1000000)) for n, c, x in (("rps75", "rps_eb", 0.75), ("rps90", "rps_eb", 0.9), ("score75", "score", 0.75))}
     )
     shared = keyed.groupBy("template").agg(F.countDistinct("account_page").alias("accounts_using"))
     template_side = shared.join(levels.select("template", "content_level"), "template", "left").join(
