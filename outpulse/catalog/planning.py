@@ -510,7 +510,7 @@ def _band(which: int) -> str:
 @product(
     "schedule_export",
     "account date_local:d day_name slot send_time price:r ladder_position:i template preview score:r reason slot_note",
-    f"""SELECT *, round(price0 + (ladder_position - 3) * step, 2) AS price FROM (SELECT w.account, w.page_type, date_local, strftime(date_local, '%a') AS day_name, 'Slot ' || (slot_rank + 1) AS slot,
+    f"""SELECT *, round(price0 + (ladder_position - 3) * step, 2) AS price FROM (SELECT w.account, w.page_type, date_local, hod, slot_rank, strftime(date_local, '%a') AS day_name, 'Slot ' || (slot_rank + 1) AS slot,
         strftime(CAST(date_local AS TIMESTAMP) + to_hours(hod) + to_minutes({_jitter(10, 'a.account_page', "strftime(date_local, '%Y%m%d')", 'hod')}), '%H:%M') AS send_time,
         CASE WHEN NOT blocked AND cooldown_ok AND dedupe_ok THEN template ELSE CASE w.page_type WHEN 'main' THEN 'FALLBACK_001' WHEN 'vip' THEN 'FALLBACK_002' END END AS template,
         substr(body, 1, 100) AS preview, round(coalesce(score_100, 0)) AS score,
@@ -521,6 +521,11 @@ def _band(which: int) -> str:
       JOIN c_accounts a USING (account))""",
 )
 def _(spark, d):
+    return export(spark, d)
+
+
+@layer("schedule_export")
+def export(spark, d):
     return slots.schedule_export(weighted(spark, d), src.templates(spark, d), src.accounts(spark, d), ("worthless", "pathetic"))
 
 

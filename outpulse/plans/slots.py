@@ -420,7 +420,7 @@ def schedule_export(ranked: DataFrame, templates: DataFrame, accounts: DataFrame
     minute = jitter(-jitter_minutes, jitter_minutes, "account_page", F.date_format("date_local", "yyyyMMdd"), "hod")
     at = F.col("date_local").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("hod").cast("int"), mins=minute.cast("int"))
     rows = best.select(
-        "account", "account_page", "page_type", "assignee", "date_local", "slot_rank", at.alias("send_at"),
+        "account", "account_page", "page_type", "assignee", "date_local", "hod", "slot_rank", at.alias("send_at"),
         F.when(ok, F.col("template")).otherwise(F.col("fall_template")).alias("template"), "preview",
         F.coalesce("best_price", "fall_price", F.lit(19.99)).alias("price0"), F.coalesce("step", F.lit(1.0)).alias("step"),
         F.coalesce("score_100", F.lit(0.0)).alias("score"), reason.alias("reason"),
@@ -428,7 +428,7 @@ def schedule_export(ranked: DataFrame, templates: DataFrame, accounts: DataFrame
     )
     step = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(float(i - 2)).alias("off")) for i in range(5)]))
     return rows.withColumn("l", step).select(
-        "account", "page_type", "assignee", "date_local", F.date_format("date_local", "EEE").alias("day_name"),
+        "account", "page_type", "assignee", "date_local", "hod", "slot_rank", F.date_format("date_local", "EEE").alias("day_name"),
         F.concat(F.lit("Slot "), (F.col("slot_rank") + 1).cast("string")).alias("slot"), F.date_format("send_at", "HH:mm").alias("send_time"),
         F.round(F.col("price0") + F.col("l.off") * F.col("step"), 2).alias("price"), F.col("l.position").alias("ladder_position"),
         "template", "preview", F.round("score").alias("score"), "reason",
