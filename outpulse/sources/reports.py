@@ -59,10 +59,17 @@ def unique_headers(names: Iterable[str]) -> list[str]:
     return out
 
 
+def original_headers(columns: list[str]) -> list[str]:
+    """Undo the position Spark appends to repeated CSV headers."""
+    bare = [c[: -len(str(i))] if c.endswith(str(i)) else c for i, c in enumerate(columns)]
+    low = [b.lower() for b in bare]
+    return [b if low.count(b.lower()) > 1 else c for b, c in zip(bare, columns)]
+
+
 def read_csv_reports(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """Header-row CSV exports, every column text, tagged with file and row id."""
     raw = spark.read.option("header", True).option("encoding", encoding).csv(path)
-    named = raw.toDF(*unique_headers(raw.columns))
+    named = raw.toDF(*unique_headers(original_headers(raw.columns)))
     cols = named.columns
     filled = named.withColumn("source_file", F.col("_metadata.file_path")).dropna("all", subset=cols)
     return filled.withColumn("row_id", F.sha2(F.to_json(F.struct("source_file", *cols)), 256))
