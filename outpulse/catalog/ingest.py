@@ -259,3 +259,69 @@ def _(spark, d):
 )
 def _(spark, d):
     return ingest.local_sends(src.send_facts(spark, d), src.accounts(spark, d), AS_OF)
+
+
+@product(
+    "sends_by_page", "message_id account_page sent_date:d sent:i earnings:r",
+    "SELECT message_id, coalesce(account_page, account || '__main') AS account_page, sent_date, sent, earnings FROM c_facts LEFT JOIN c_accounts USING (account) WHERE sent_date BETWEEN DATE '2024-01-31' - 90 AND DATE '2024-01-31'",
+)
+def _(spark, d):
+    return ingest.sends_by_page(src.send_facts(spark, d), src.accounts(spark, d), AS_OF, 90)
+
+
+@product(
+    "active_accounts", "account account_page is_paid assignee tier last_active:d",
+    """SELECT account, account || '__' || primary_type AS account_page, primary_type <> 'free' AS is_paid,
+         CASE WHEN CAST(substr(account, 6) AS BIGINT) % 4 = 0 THEN 'lead' ELSE assignee END AS assignee, segment AS tier, last_active
+       FROM o_account_dimension WHERE account_status = 'active' AND last_active >= DATE '2024-01-31' - 21""",
+)
+def _(spark, d):
+    a = src.accounts(spark, d)
+    overrides = a.where(F.substring("account", 6, 20).cast("long") % 4 == 0).select("account", F.lit("lead").alias("assignee"))
+    return ingest.active_accounts(ingest.account_dimension(a, src.send_facts(spark, d), AS_OF), AS_OF, overrides)
+
+
+@product(
+    "account_state", "account page_state revenue_7d:r revenue_28d:r",
+    """SELECT account, page_state, coalesce(r7, 0) AS revenue_7d, coalesce(r28, 0) AS revenue_28d FROM c_accounts LEFT JOIN (
+         SELECT account, sum(earnings) FILTER (sent_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY) AS r7, sum(earnings) AS r28 FROM c_facts
+         WHERE sent_at >= TIMESTAMP '2024-01-31' - INTERVAL 28 DAY AND sent_at < TIMESTAMP '2024-01-31' GROUP BY 1) USING (account)""",
+)
+def _(spark, d):
+    return ingest.account_state(src.send_facts(spark, d), src.accounts(spark, d), AS_OF)
+
+
+_TIERS = ("free", "low", "medium", "high", "premium")
+
+
+@product(
+    "price_tier_pivot", "account " + " ".join(f"{t}_sends:i {t}_revenue:r" for t in _TIERS),
+    "SELECT account, "
+    + ", ".join(f"count(*) FILTER (t = '{t}') AS {t}_sends, coalesce(CAST(sum(earnings) FILTER (t = '{t}') AS DOUBLE), 0) AS {t}_revenue" for t in _TIERS)
+    + f" FROM (SELECT *, {tier('price')} AS t FROM c_facts) GROUP BY 1",
+)
+def _(spark, d):
+    return ingest.kind_pivot(src.send_facts(spark, d)).fillna(0)
+
+
+def _halves(spark, d):
+    f = src.send_facts(spark, d).select("message_id", "account", "sent_date", "sent", "earnings")
+    return f.where("sent_date <= '2024-01-20'"), f.where("sent_date >= '2024-01-15'").withColumn("sent", F.col("sent") + 1)
+
+
+@product(
+    "keyed_append", "message_id account sent:i",
+    "SELECT message_id, account, sent + 1 AS sent FROM c_facts WHERE sent_date > DATE '2024-01-20'",
+)
+def _(spark, d):
+    old, new = _halves(spark, d)
+    return upsert.added_only(old, new, ["message_id"], [F.col("sent")])
+
+
+@product(
+    "batch_upsert", "message_id account sent:i",
+    "SELECT message_id, account, CASE WHEN sent_date >= DATE '2024-01-15' THEN sent + 1 ELSE sent END AS sent FROM c_facts",
+)
+def _(spark, d):
+    old, new = _halves(spark, d)
+    return upsert.merged_any(old, new, ["message_id"])

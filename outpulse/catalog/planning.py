@@ -10,6 +10,7 @@ from outpulse.catalog.base_sql import ratio
 from outpulse.catalog.ranking import hash_int, hash_uniform
 from outpulse.catalog.registry import SHARED_SQL, layer, product
 from outpulse.catalog.semantic import AS_OF, NOW, TODAY
+from outpulse.operators.ranking import top_k
 from outpulse.plans import rank, semantic, slots
 from outpulse.sources import driver_tables as src
 
@@ -30,7 +31,7 @@ def best_prices(spark, d):
 @layer("slot_recommendations")
 def slot_recs(spark, d):
     return slots.slot_recommendations(
-        src.accounts(spark, d), semantic.slot_scorecard(sem.dm(spark, d)), best_prices(spark, d), AS_OF
+        src.spread(src.accounts(spark, d), "account"), semantic.slot_scorecard(sem.dm(spark, d)), best_prices(spark, d), AS_OF
     )
 
 
@@ -116,7 +117,7 @@ SELECT *, CAST(date_local AS TIMESTAMP) + to_hours(hod) AS planned_local,
 @layer("weekly_plan")
 def plan(spark, d):
     return slots.weekly_plan(
-        slots.quota_policy(src.accounts(spark, d)), semantic.weekday_hour_scores(sem.local(spark, d), AS_OF),
+        slots.quota_policy(src.spread(src.accounts(spark, d), "account")), semantic.weekday_hour_scores(sem.local(spark, d), AS_OF),
         semantic.price_profile(sem.local(spark, d)), rk.weights(spark, d), AS_OF,
     )
 
@@ -220,7 +221,7 @@ SELECT account, kind, CAST(planned_local AS DATE) AS date_local, hour(planned_lo
 
 @product("side_windows", "account kind date_local:d hod:i planned_local:t scheduled_utc:t", "SELECT * FROM c_windows")
 def _(spark, d):
-    return slots.side_windows(src.accounts(spark, d), AS_OF)
+    return slots.side_windows(src.spread(src.accounts(spark, d), "account"), AS_OF)
 
 
 _KEY = ("account", "strftime(date_local, '%Y-%m-%d')", "slot_rank", "step")
@@ -370,8 +371,9 @@ SHARED_SQL["c_diverse"] = """
 SELECT *, preliminary - CASE WHEN same_day_rank > 1 THEN greatest(rps_eb, 0.0005) ELSE 0 END - CASE WHEN conflict THEN 0.75 * greatest(rps_eb, 0.0005) ELSE 0 END AS score FROM c_flags"""
 
 
+@layer("diverse_ranking")
 def diverse(spark, d):
-    return rank.diverse_ranking(preliminary(spark, d))
+    return rank.diverse_ranking(preliminary(spark, d), stable=True)
 
 
 @product(
@@ -380,7 +382,7 @@ def diverse(spark, d):
     "SELECT *, row_number() OVER (PARTITION BY account_page, slot_at ORDER BY score DESC, template) AS rank FROM c_diverse QUALIFY rank <= 20",
 )
 def _(spark, d):
-    return rank.diverse_ranking(preliminary(spark, d), keep=20)
+    return top_k(diverse(spark, d), ["account_page", "slot_at"], [F.col("score").desc(), F.col("template")], 20)
 
 
 @product(
@@ -390,7 +392,7 @@ def _(spark, d):
        WHERE same_day_rank = 1 AND NOT conflict QUALIFY rank <= 20""",
 )
 def _(spark, d):
-    return rank.diverse_ranking(preliminary(spark, d), rank.DiversityParams(ban=True), keep=20)
+    return rank.diverse_ranking(preliminary(spark, d), rank.DiversityParams(ban=True), keep=20, stable=True)
 
 
 SHARED_SQL["c_cooldowns"] = f"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from outpulse.functions import clock, text
 from outpulse.functions.numeric import num, ratio
-from outpulse.operators.joins import absent_from, group_stats
+from outpulse.operators.joins import absent_from, group_stats, salted_lookup
 from outpulse.operators.matching import best_similar
 from outpulse.operators.ranking import first_per_key
 from outpulse.plans.ingest import parsed_reports
@@ -204,8 +204,8 @@ def override_feedback(overrides: DataFrame, sends: DataFrame, projections: DataF
     the one it replaced."""
     actual = sends.groupBy("account", "template", F.col("sent_date").alias("day")).agg(
         F.sum("earnings").cast("double").alias("revenue"), ratio(F.sum("viewed"), F.sum("sent")).alias("open_rate"))
-    j = overrides.join(actual.withColumnRenamed("template", "new_template"), ["account", "new_template", "day"])
-    j = j.join(projections.select("account", F.col("template").alias("old_template"), "projected"), ["account", "old_template"])
+    j = salted_lookup(overrides, actual.withColumnRenamed("template", "new_template"), ["account", "new_template", "day"], "inner")
+    j = salted_lookup(j, projections.select("account", F.col("template").alias("old_template"), "projected"), ["account", "old_template"], "inner")
     return j.select(
         "override_id", "assignee", "account", "revenue", "projected", (F.col("revenue") - F.col("projected")).alias("delta"),
         F.when(F.col("revenue") > F.col("projected") * 1.1, "SUCCESS").when(F.col("revenue") < F.col("projected") * 0.9, "FAILURE").otherwise("NEUTRAL").alias("result"))
@@ -217,3 +217,10 @@ def override_accuracy(feedback: DataFrame) -> DataFrame:
         F.avg("delta").alias("avg_delta"), F.sum("delta").alias("total_delta"),
         F.count_if(F.col("delta") > 10).alias("high_value"), F.count_if(F.col("delta") < -10).alias("high_cost"),
     ).withColumn("accuracy", ratio("successes", "overrides"))
+
+
+def ingestion_monitor(log: DataFrame) -> DataFrame:
+    """Runs, inserted rows, duplicates and errors per day of the run log."""
+    return log.groupBy(F.to_date("run_at").alias("run_date")).agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("inserted").alias("inserted"), F.max("inserted").alias("max_inserted"), F.sum("duplicates").alias("duplicates"),
+        F.sum("errors").alias("errors"), F.min("error_sample").alias("error_sample"), ratio(F.sum("inserted"), F.sum("source_rows")).alias("insertion_rate"))

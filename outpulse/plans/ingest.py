@@ -366,3 +366,38 @@ def local_sends(facts: DataFrame, accounts: DataFrame, as_of: str, days: int = 1
         clock.monday_based(at).alias("dow"), F.hour(at).alias("hod"), "price", "earnings", "sent",
         F.ln(num("price")).alias("log_price"), ratio("earnings", "sent").alias("rps"),
     )
+
+
+def sends_by_page(facts: DataFrame, accounts: DataFrame, as_of: str, days: int | None = None) -> DataFrame:
+    """Sends under their account page; the date guard is a plain comparison on
+    the partition column, so only the needed days are scanned."""
+    f = facts if days is None else facts.where(clock.day_within("sent_date", as_of, days))
+    pages = accounts.select("account", F.concat_ws("__", "account", F.coalesce("page_type", F.lit("main"))).alias("account_page"))
+    return salted_lookup(f, pages, ["account"]).withColumn("account_page", F.coalesce("account_page", F.concat("account", F.lit("__main"))))
+
+
+def active_accounts(dimension: DataFrame, as_of: str, overrides: DataFrame, days: int = 21) -> DataFrame:
+    """Accounts seen lately, with the page, paid status and assignee in force."""
+    live = dimension.where((F.col("account_status") == "active") & (F.col("last_active") >= F.date_sub(clock.day(as_of), days)))
+    j = live.join(overrides.select("account", F.col("assignee").alias("forced")), "account", "left")
+    page = F.col("page_types.primary")
+    return j.select(
+        "account", page.alias("page_type"), F.concat_ws("__", F.col("account"), page).alias("account_page"), (page != "free").alias("is_paid"),
+        F.coalesce("forced", "assignee", F.lit("unassigned")).alias("assignee"), F.col("segment").alias("tier"), "last_active",
+    )
+
+
+def account_state(facts: DataFrame, accounts: DataFrame, as_of: str) -> DataFrame:
+    """Planning state with the revenue of the last 7 and 28 days."""
+    week = clock.within_days("sent_at", as_of, 7)
+    r = facts.where(clock.within_days("sent_at", as_of, 28)).groupBy("account").agg(
+        F.sum(F.when(week, F.col("earnings"))).alias("r7"), F.sum("earnings").alias("r28"))
+    return accounts.select("account", "page_state").join(r, "account", "left").select(
+        "account", "page_state", F.coalesce(num("r7"), F.lit(0.0)).alias("revenue_7d"), F.coalesce(num("r28"), F.lit(0.0)).alias("revenue_28d"))
+
+
+def kind_pivot(facts: DataFrame) -> DataFrame:
+    """Sends and revenue per account, one pair of columns per price tier."""
+    tiers = ["free", "low", "medium", "high", "premium"]
+    keyed = facts.withColumn("tier", price_tier("price"))
+    return keyed.groupBy("account").pivot("tier", tiers).agg(F.count(F.lit(1)).alias("sends"), F.sum("earnings").cast("double").alias("revenue"))

@@ -206,7 +206,9 @@ def preliminary_scores(
     )
 
 
-def diverse_ranking(preliminary: DataFrame, params: DiversityParams = DiversityParams(), keep: int | None = None) -> DataFrame:
+def diverse_ranking(
+    preliminary: DataFrame, params: DiversityParams = DiversityParams(), keep: int | None = None, stable: bool = False
+) -> DataFrame:
     """Penalise (or ban) repeats of a template within an account's day and
     near slots that another account gives to the same template.
 
@@ -215,7 +217,7 @@ def diverse_ranking(preliminary: DataFrame, params: DiversityParams = DiversityP
     when any hour within the block holds an account other than its own.
     """
     p = params
-    pre = stabilise(preliminary)
+    pre = preliminary if stable else stabilise(preliminary)
     day = Window.partitionBy("account_page", F.to_date("slot_at"), "template").orderBy(
         F.col("preliminary").desc(), "slot_at"
     )  # at most 24 rows: one account, template and day

@@ -107,9 +107,8 @@ def weekly_plan(policy: DataFrame, scores: DataFrame, prices: DataFrame, weights
     today = F.to_date(clock.local(F.lit(as_of).cast("timestamp_ntz"), F.col("tz")))
     days = (
         policy.where(F.col("quota") > 0)
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("d"))
-        .withColumn("date_local", F.date_add(today, F.col("d")))
-        .where(clock.monday_based("date_local") == F.col("dow"))
+        # Each weekday falls on exactly one of the next seven dates.
+        .withColumn("date_local", F.date_add(today, F.pmod(F.col("dow") - F.weekday(today), F.lit(7))))
         .select("account", "account_page", "assignee", "tz", "page_state", "date_local", "dow", "quota", "hour_pool", "is_burst",
                 F.least(lo, hi).alias("min_h"), F.greatest(lo, hi).alias("max_h"),
                 hash_int("account", F.col("date_local").cast("string")).alias("seed"))

@@ -29,7 +29,7 @@ def send_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as one send per row: a narrow projection, no shuffle."""
     n = "event_id"
     return (
-        table(spark, sf_dir, "events")
+        spread(table(spark, sf_dir, "events"), "event_id")
         .withColumn("k", F.get_json_object("props", "$.k").cast("long"))
         .selectExpr(
             "concat('m', event_id) AS message_id",
@@ -54,7 +54,7 @@ def send_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as sends: large volume, several years of days."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     return lines.join(parts, lines.l_partkey == parts.p_partkey).selectExpr(
         "concat(l_orderkey, '-', l_linenumber) AS message_id",
         "concat('acct_', l_suppkey) AS account",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outpulse.sources.driver_tables import table
+from outpulse.sources.driver_tables import spread, table
 
 LANDING_SCHEMA = T.StructType(
     [
@@ -158,7 +158,7 @@ def export_by_category(df: DataFrame, path: str, category: str) -> DataFrame:
 
 def landing_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` dressed as report rows: money and times are text."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"), "event_id")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     joined = events.join(parts, F.expr("event_id * 7 % 200 = p_partkey")).join(

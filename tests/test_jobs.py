@@ -123,6 +123,8 @@ def test_bank_update_logs_success_and_failure(spark, tmp_path):
     with pytest.raises(Exception):
         content.update_bank(spark, inflow.drop("body"), str(tmp_path / "bank"), log, "r2", "2024-01-31")
     assert sorted((r["run_id"], r["errors"]) for r in spark.read.parquet(log).collect()) == [("r1", 0), ("r2", 1)]
+    day = content.ingestion_monitor(spark.read.parquet(log)).first()
+    assert (str(day["run_date"]), day["runs"], day["inserted"], day["errors"]) == ("2024-01-31", 2, done["inserted"], 1)
 
 
 def test_settings_and_json_configuration(spark):
