@@ -16,7 +16,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
 QUERIES = (
-    "normalised_reports", "report_fact_upsert", "staged_sends", "send_fact", "daily_performance", "feature_store", "template_features", "template_performance",
+    "staged_sends", "send_fact", "normalised_reports", "report_fact_upsert", "daily_performance", "feature_store", "template_features", "template_performance",
     "style_lift", "slot_ranking", "schedule_recommendations", "slot_recommendations", "weekly_plan", "preliminary_ranking", "diverse_ranking", "weighted_ranking",
     "schedule_export", "smart_cooldowns", "send_links", "performance_alerts", "volume_advice", "timing_regularity", "revenue_projections", "opportunity_ranking",
     "enhanced_plan", "account_leaderboard", "data_quality_check", "template_inflow", "content_audit", "mapped_names",
