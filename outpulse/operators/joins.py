@@ -21,8 +21,15 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= estimated_bytes(df) <= limit
 
 
+def useful_salts(df: DataFrame) -> int:
+    """How far spreading one key can help: a fraction of the shuffle
+    partitions, 16 at most.  With a handful of partitions there is nothing to
+    spread over and the answer is 1."""
+    return min(16, max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")) // 8))
+
+
 def salted_lookup(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", salts: int = 16
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", salts: int | None = None
 ) -> DataFrame:
     """Join many rows to at most one row per key.
 
@@ -33,7 +40,8 @@ def salted_lookup(
     over ``salts`` tasks.  The salt is a hash of the row, never ``rand()``: a
     task that runs again after a lost executor sends its rows to the same place.
     """
-    if fits_broadcast(right):
+    salts = useful_salts(left) if salts is None else salts
+    if salts == 1 or fits_broadcast(right):
         return left.join(right, keys, how)
     hashed = [c for c, t in left.dtypes if not t.startswith("map")]
     l = left.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))

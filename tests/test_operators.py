@@ -54,7 +54,7 @@ def test_salted_lookup_beyond_the_broadcast_limit(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        salted = joins.salted_lookup(left, right, ["k"])
+        salted = joins.salted_lookup(left, right, ["k"], salts=8)
         assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
         plain = left.join(right, "k", "left")
         assert salted.exceptAll(plain.select(*salted.columns)).count() == 0 and salted.count() == left.count()
