@@ -285,11 +285,11 @@ def _(spark, d):
     "assignee account p25:r p50:r hod1:i template suggestion_rank:i",
     """SELECT assignee, account, p25, p50, best_hours[1] AS hod1, unnest(suggestions) AS template, unnest(range(1, len(suggestions) + 1)) AS suggestion_rank
        FROM c_brief WHERE assignee = 'S3' AND suggestions IS NOT NULL
-       UNION ALL SELECT assignee, account, p25, p50, best_hours[1], NULL, NULL FROM c_brief WHERE assignee = 'S3' AND suggestions IS NULL""",
+       UNION ALL SELECT assignee, account, p25, p50, best_hours[1], NULL, 0 FROM c_brief WHERE assignee = 'S3' AND suggestions IS NULL""",
 )
 def _(spark, d):
     users = src.accounts(spark, d).groupBy("assignee").agg(F.lit(False).alias("can_view_all")).withColumn("email", F.concat("assignee", F.lit("@example.com")))
-    return slots.brief_rows(brief(spark, d), users, "s3@example.com")
+    return slots.brief_rows(brief(spark, d), users, "s3@example.com").fillna(0, ["suggestion_rank"])
 
 
 SHARED_SQL["c_tier_top"] = f"""

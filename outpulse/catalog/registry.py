@@ -19,8 +19,10 @@ from outpulse.session import stabilise
 PRODUCTS: dict[str, "Product"] = {}
 SHARED_SQL: dict[str, str] = {}
 # Shown reals are nudged before rounding, on both sides: engines disagree on
-# exact halves (x.xxxxxx5), which ratios by powers of two do produce.
+# exact halves (x.xxxxxx5), which ratios by powers of two do produce.  NaN (a
+# correlation without variance) shows as NULL and minus zero as zero.
 NUDGE = 1.00000000001
+SHOWN = "round(CAST({0} AS DOUBLE) * 1.00000000001, 6)"
 
 
 @dataclass(frozen=True)
@@ -32,7 +34,7 @@ class Product:
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         kinds = {
-            "r": lambda c: F.round(F.col(c).cast("double") * NUDGE, 6),
+            "r": lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.round(F.col(c).cast("double") * NUDGE, 6)),
             "i": lambda c: F.col(c).cast("long"),
             "d": lambda c: F.date_format(c, "yyyy-MM-dd"),
             "t": lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss"),
@@ -46,7 +48,7 @@ class Product:
         if self.sql is None:
             return None
         kinds = {
-            "r": "round(CAST({0} AS DOUBLE) * 1.00000000001, 6)",
+            "r": f"CASE WHEN isnan({SHOWN}) THEN NULL WHEN {SHOWN} = 0 THEN 0.0::DOUBLE ELSE {SHOWN} END",
             "i": "CAST({0} AS BIGINT)",
             "d": "strftime({0}, '%Y-%m-%d')",
             "t": "strftime({0}, '%Y-%m-%d %H:%M:%S')",

@@ -19,6 +19,7 @@ def build_session(app: str = "outpulse", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
