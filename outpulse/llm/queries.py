@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from outpulse.llm import bpe, chat, fingerprint, licenses, packing, quality, tokens_file, toxicity
+from outpulse.llm import bpe, chat, fingerprint, licenses, near_dedup, packing, quality, tokens_file, toxicity
 from outpulse.llm.common import read
 
 VOCABULARIES = {"ranks": "byte_bpe_multi_50k.tiktoken", "bytes": "byte_bpe_50k.json", "words": "word_bpe_49k.json"}
@@ -51,6 +51,10 @@ def op6_licenses(spark, sf_dir):
     return licenses.scan(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op7_near_dedup(spark, sf_dir):
+    return near_dedup.classes(read(spark, sf_dir, "documents"))
+
+
 def op8_token_file(spark, sf_dir):
     return tokens_file.round_trip(spark, read(spark, sf_dir, "documents"), vocabulary("bytes"))
 
@@ -77,5 +81,5 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_byte_bpe, op4_chat, op5_fingerprint, op6_licenses, op8_token_file, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_byte_bpe, op4_chat, op5_fingerprint, op6_licenses, op7_near_dedup, op8_token_file, op9_packing)}
 SQL = {"op4_chat": OP4_SQL}

@@ -45,9 +45,8 @@ class IdCache:
         if len(self.young) > self.entries:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        missing = set().union(*split) - young.keys() if split else set()
-        again = missing & old.keys()
-        young.update((u, old[u]) for u in again)
-        new = list(missing - again)
+        missing = [u for u in set().union(*split) if u not in young]
+        young.update([(u, old[u]) for u in missing if u in old])
+        new = [u for u in missing if u not in young]
         young.update(zip(new, self.encode(new)))
         return [b"".join([young[u] for u in units]) for units in split]
