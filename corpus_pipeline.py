@@ -5,20 +5,27 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from outpulse.llm import near_dedup, packing, quality, toxicity
 from outpulse.llm.common import read, shared_dir
 from outpulse.llm.queries import vocabulary
 
 
+def accepted(docs: DataFrame, score, labels: DataFrame, predicted: int) -> DataFrame:
+    """The whole rows that ``score`` predicts so; they travel as one column, so that no name of theirs clashes."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "doc_id", "text")
+    return score(rows, labels).where(F.col("predicted") == predicted).select("_row.*")
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learnt from the labelled ones among them, does not reject."""
-    return toxicity.score(docs, read(spark, sf_dir, "labels")).where("predicted = 0").select(*docs.columns)
+    return accepted(docs, toxicity.score, read(spark, sf_dir, "labels"), 0)
 
 
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model accepts."""
-    return quality.score(docs, read(spark, sf_dir, "labels")).where("predicted = 1").select(*docs.columns)
+    return accepted(docs, quality.score, read(spark, sf_dir, "labels"), 1)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from outpulse.llm import bpe, chat, fingerprint, licenses, near_dedup, packing, quality, tokens_file, toxicity
+from outpulse.llm import bpe, chat, fingerprint, licenses, near_dedup, packing, quality, search, tokens_file, toxicity
 from outpulse.llm.common import read
 
 VOCABULARIES = {"ranks": "byte_bpe_multi_50k.tiktoken", "bytes": "byte_bpe_50k.json", "words": "word_bpe_49k.json"}
@@ -63,6 +63,13 @@ def op9_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), vocabulary("words"))
 
 
+def op10_search(spark, sf_dir):
+    """The ten best documents for every document whose id is divisible by 100, itself among them."""
+    docs = read(spark, sf_dir, "documents")
+    found = search.top_k(docs, docs.where(F.col("doc_id") % 100 == 0), k=10)
+    return found.select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
 _ESC = "replace(replace({}, '\\', '\\\\'), '<|', '<\\|')"
 
 OP4_SQL = f"""
@@ -81,5 +88,24 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_byte_bpe, op4_chat, op5_fingerprint, op6_licenses, op7_near_dedup, op8_token_file, op9_packing)}
-SQL = {"op4_chat": OP4_SQL}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP10_SQL = f"""
+WITH tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS term FROM documents
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf) AS n FROM tf GROUP BY doc_id),
+whole AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(n) FROM lengths) / (SELECT count(*) FROM documents) AS mean),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (
+  SELECT doc_id AS query_id, term, tf * ln(1 + (n - df + 0.5) / (df + 0.5)) AS weight
+  FROM tf JOIN df USING (term) CROSS JOIN whole WHERE doc_id % 100 = 0
+), scores AS (
+  SELECT query_id, tf.doc_id, sum(weight * tf * (1.2 + 1) / (tf + 1.2 * (1 - 0.75 + 0.75 * lengths.n / mean))) AS score
+  FROM asked JOIN tf USING (term) JOIN lengths ON lengths.doc_id = tf.doc_id CROSS JOIN whole GROUP BY ALL
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10
+"""
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_byte_bpe, op4_chat, op5_fingerprint, op6_licenses, op7_near_dedup, op8_token_file, op9_packing, op10_search)}
+SQL = {"op4_chat": OP4_SQL, "op10_search": OP10_SQL}
