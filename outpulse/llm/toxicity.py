@@ -11,7 +11,7 @@ from pyspark.sql.functions import arrow_udf
 
 from outpulse.llm.common import ROWS_PER_BATCH, by_batch, by_task, held_out, labelled_texts, saved, words
 
-SAMPLE = 12_000  # labelled documents learnt from at most
+SAMPLE = 8_000  # labelled documents learnt from at most
 STEM = 5  # letters of a word's stem, which counts beside the word
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 KINDS = np.array([0x51ED270B, 0x2545F491, 0x6C62272E, 0x7F4A7C15], np.uint64)  # word, stem, pair, skip-gram
@@ -56,6 +56,15 @@ class Hasher:
 _HASHER = Hasher()
 
 
+def frequent(rows: list[np.ndarray], least: int, parts: int = 16) -> np.ndarray:
+    """Features of at least ``least`` rows, in order; counted part by part, so that one part's copies are held at once."""
+    kept = [np.zeros(0, np.int64)]
+    for k in range(parts if rows else 0):
+        distinct, seen = np.unique(np.concatenate([r[r & (parts - 1) == k] for r in rows]), return_counts=True)
+        kept.append(distinct[seen >= least])
+    return np.sort(np.concatenate(kept))
+
+
 def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 3, alpha: float = 1.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.2, least: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
     """Features with weights other than zero, their weights and the intercept.
 
@@ -63,8 +72,7 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 3, alpha: flo
     gradients); l1 keeps a weight at zero until its gradients outweigh it.  The
     intercept is a coordinate without l1.
     """
-    distinct, seen = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int64), return_counts=True)
-    distinct = distinct[seen >= least]
+    distinct = frequent(rows, least)
     index = []
     for r in rows:
         at = np.searchsorted(distinct, r)
