@@ -32,22 +32,26 @@ class Shingler:
     """Distinct 64-bit hashes of a text's shingles; fewer words than SHINGLE are one shingle."""
 
     def __init__(self, entries: int = 400_000):
-        self.entries, self.known = entries, {}
+        self.entries, self.at, self.hashes = entries, {}, np.zeros(1 << 12, np.uint64)
 
     def set_of(self, found: list[str]) -> np.ndarray:
         if not found:
             return np.zeros(0, np.uint64)
-        known = self.known
-        if len(known) > self.entries:
-            known.clear()
+        if len(self.at) > self.entries:
+            self.__init__(self.entries)
+        at = self.at
         for w in set(found):
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w)
-        w = np.array([known[x] for x in found], np.uint64)
-        n = max(1, len(w) - SHINGLE + 1)
+            if w not in at:
+                if len(at) == len(self.hashes):
+                    self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+                self.hashes[len(at)] = xxhash.xxh64_intdigest(w)
+                at[w] = len(at)
+        w = self.hashes[np.array([at[x] for x in found], np.int64)]
+        width = min(SHINGLE, len(w))
+        n = len(w) - width + 1
         total = np.zeros(n, np.uint64)
-        for j in range(min(SHINGLE, len(w))):
-            total = mixed(total + w[j : j + n]) if len(w) >= SHINGLE else mixed(total + w[j : j + 1])
+        for j in range(width):
+            total = mixed(total + w[j : j + n])
         return np.unique(total)
 
 
