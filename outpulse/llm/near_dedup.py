@@ -6,6 +6,8 @@ only nodes are compared, so copies are never paired with each other.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -18,7 +20,8 @@ SHINGLE = 5
 ALIKE = 0.8
 BANDS, ROWS = 27, 7  # two texts at 0.8 share a band with odds of 0.998; at 0.6 with 0.53, at 0.4 with 0.04
 COORDINATES = BANDS * ROWS
-BITS_APART = 36  # of 189 one-bit coordinates; at 0.8 the mean is 19 and 36 four deviations beyond it
+PLANES = 4  # bits kept of each coordinate, side by side as planes of 189 bits
+APART = 57  # coordinates that may differ in these bits; at 0.8 the mean is 35 and 57 four deviations beyond it
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Chances of at most 0, 1, 2, ... darts in a region of measure one.
 POISSON = np.cumsum(np.exp(-1) / np.cumprod([1, *range(1, 16)]))
@@ -101,9 +104,10 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 
 def bits(sig: np.ndarray) -> np.ndarray:
-    """One bit of each coordinate in three words."""
-    packed = np.packbits((mixed(sig) >> np.uint64(17)).astype(np.uint8) & 1)
-    return np.frombuffer(packed.tobytes().ljust(24, b"\0"), np.uint64)
+    """PLANES bits of each coordinate: three words of 189 bits for each plane."""
+    hashed = mixed(sig)
+    planes = [np.packbits((hashed >> np.uint64(17 + 11 * p)).astype(np.uint8) & 1).tobytes().ljust(24, b"\0") for p in range(PLANES)]
+    return np.frombuffer(b"".join(planes), np.uint64)
 
 
 _SHINGLER = Shingler()
@@ -169,8 +173,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def close(x: str, y: str) -> Column:
-    """Whether the one-bit coordinates are near enough for a likeness of ALIKE."""
-    return sum((F.bit_count(F.get(F.col(x), F.lit(i)).bitwiseXOR(F.get(F.col(y), F.lit(i)))) for i in range(3)), F.lit(0)) <= BITS_APART
+    """Whether few enough coordinates differ for a likeness of ALIKE."""
+    apart = lambda i: F.get(F.col(x), F.lit(i)).bitwiseXOR(F.get(F.col(y), F.lit(i)))
+    words_apart = [reduce(Column.bitwiseOR, [apart(3 * p + i) for p in range(PLANES)]) for i in range(3)]
+    return reduce(Column.__add__, [F.bit_count(w) for w in words_apart]) <= APART
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -183,16 +189,17 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node`` and ``comp`` of the nodes linked to a lesser one.
 
-    Each band's bucket links its members to its least node, not to each other.
-    A member whose component is not that of the bucket's least node afterwards
-    is compared with the whole bucket, other components only, so a link is lost
-    only where two texts at ALIKE share no band.
+    Each band's bucket links its members to its least and its greatest node,
+    not to each other.  A member whose component is not that of the bucket's
+    least node afterwards is compared with the whole bucket, other components
+    only and in the first bucket that two nodes share, so a link is lost only
+    where two texts at ALIKE share no band.
     """
-    rows = nodes.where("rep IS NOT NULL").select("node", F.explode("bands").alias("band"))
-    buckets = rows.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "leader")
+    rows = nodes.where("rep IS NOT NULL").select("node", F.posexplode("bands").alias("i", "band"))
+    buckets = rows.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("n")).where("n > 1").drop("n")
     held = saved(rows.join(buckets, "band"))
     near = nodes.select("node", "bits")
-    star = held.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared"))
+    star = held.select("node", F.explode(F.array("first", "last")).alias("leader")).where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared"))
     star = star.join(near.select("node", F.col("bits").alias("x")), "node").join(near.select(F.col("node").alias("leader"), F.col("bits").alias("y")), "leader")
     star = saved(star.where(close("x", "y")).select("node", "leader", "shared"))
     wanted = held.select("node").distinct().join(nodes.select("node", "rep"), "node")
@@ -206,12 +213,14 @@ def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     edges = saved(edges.unionByName(links(rest, sets)))
     comps = components(edges)
 
-    placed = of(of(held, "node", "comp"), "leader", "main").join(near, "node")
-    placed = saved(placed.select("band", "node", "comp", "bits", (F.col("comp") != F.col("main")).alias("apart")))
-    r = placed.where("apart").select("band", F.col("node").alias("a"), F.col("comp").alias("p"), F.col("bits").alias("x"))
-    t = placed.select("band", F.col("node").alias("b"), F.col("comp").alias("q"), F.col("bits").alias("y"), F.col("apart").alias("also"))
-    cross = r.join(t, (r.band == t.band) & (F.col("p") != F.col("q")) & (~F.col("also") | (F.col("a") < F.col("b"))) & close("x", "y"))
-    cross = cross.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(star.select(F.col("node").alias("a"), F.col("leader").alias("b")), ["a", "b"], "left_anti")
+    placed = saved(of(of(held.drop("last"), "node", "comp"), "first", "main").select("i", "band", "node", "comp", (F.col("comp") != F.col("main")).alias("apart")))
+    mixed_buckets = placed.where("apart").select("band").distinct()
+    placed = placed.join(mixed_buckets, "band", "left_semi").join(nodes.select("node", "bits", "bands"), "node")
+    r = placed.where("apart").select("band", "i", F.col("node").alias("a"), F.col("comp").alias("p"), F.col("bits").alias("x"), F.col("bands").alias("xb"))
+    t = placed.select(F.col("band").alias("band_"), F.col("node").alias("b"), F.col("comp").alias("q"), F.col("bits").alias("y"), F.col("bands").alias("yb"), F.col("apart").alias("also"))
+    earliest = F.array_position(F.zip_with("xb", "yb", lambda m, n: m == n), True) == F.col("i") + 1
+    cross = r.join(t, (F.col("band") == F.col("band_")) & (F.col("p") != F.col("q")) & (~F.col("also") | (F.col("a") < F.col("b"))) & close("x", "y") & earliest)
+    cross = cross.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     return components(edges.unionByName(links(cross, sets)))
 
 
