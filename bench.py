@@ -8,6 +8,7 @@ their own names, the way the nightly job builds them.
 
 import json
 import os
+import tempfile
 import time
 
 from outpulse.session import build_session
@@ -19,14 +20,15 @@ QUERIES = (
     "staged_sends", "send_fact", "normalised_reports", "report_fact_upsert", "daily_performance", "feature_store", "template_features", "template_performance",
     "style_lift", "slot_ranking", "schedule_recommendations", "slot_recommendations", "weekly_plan", "preliminary_ranking", "diverse_ranking", "weighted_ranking",
     "schedule_export", "smart_cooldowns", "send_links", "performance_alerts", "volume_advice", "timing_regularity", "revenue_projections", "opportunity_ranking",
-    "enhanced_plan", "account_leaderboard", "data_quality_check", "template_inflow", "content_audit", "mapped_names",
+    "enhanced_plan", "account_leaderboard", "data_quality_check", "template_inflow", "content_audit", "mapped_names", "upserted_facts", "streamed_facts", "streamed_daily_totals",
 )
 
 
 def main() -> None:
     spark = build_session(
         "outpulse-bench", f"local[{CPUS}]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "20g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "20g", "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="outpulse-bench-")},  # one machine: its own folder is shared
     )
     spark.sparkContext.setLogLevel("ERROR")
     from outpulse.catalog import load_products

@@ -115,7 +115,7 @@ FROM (SELECT *, greatest(2, least(12, round(base_volume * trend_mult * stability
 @layer("volume_advice")
 def volume(spark, d):
     f = sem.facts(spark, d)
-    return advice.volume_advice(f, src.accounts(spark, d), semantic.engagement_patterns(f, AS_OF, 2), AS_OF)
+    return advice.volume_advice(f, src.accounts(spark, d), semantic.engagement_patterns(f, AS_OF), AS_OF)
 
 
 @product(

@@ -82,7 +82,7 @@ SELECT * EXCLUDE (rn, cand, off) , cand AS hod0 FROM (
 SELECT *, row_number() OVER (PARTITION BY account, date_local, slot_rank ORDER BY abs(cand - anchor), off) AS rn FROM (
 SELECT *, CASE WHEN quota = 1 THEN round((a_start + a_end) / 2.0) ELSE a_start + slot_rank * step + (seed + slot_rank) % 3 - 1 END AS anchor,
   unnest(c) AS cand, unnest(range(len(c))) AS off FROM (
-SELECT *, unnest(range(least(quota - 1, 9) + 1)) AS slot_rank, least(6, greatest(2, round(greatest(a_end - a_start, 2) / greatest(quota - 1, 1)))) AS step
+SELECT *, unnest(range(least(quota - 1, max_h - min_h) + 1)) AS slot_rank, least(6, greatest(2, round(greatest(a_end - a_start, 2) / greatest(quota - 1, 1)))) AS step
 FROM (SELECT *, least(max_h, greatest(min_h, c[1])) AS a_start, greatest(min_h, least(max_h, c[-1])) AS a_end FROM c_plan_pool)))
 WHERE off < greatest(hour_pool, least(len(c), quota * 3))) WHERE rn = 1"""
 SHARED_SQL["c_plan_spaced"] = f"""
@@ -262,12 +262,14 @@ WITH h AS (SELECT account, (list(hod ORDER BY s DESC, hod))[1:5] AS best_hours F
     sum(earnings::DOUBLE * exp(-trunc(epoch({NOW} - local_at) / 86400) / 60.0)) AS s FROM c_local GROUP BY 1, 2) GROUP BY 1),
 b AS (SELECT account, quantile_disc(price::DOUBLE, 0.4) AS p25, quantile_disc(price::DOUBLE, 0.5) AS p50, quantile_disc(price::DOUBLE, 0.7) AS p75
       FROM c_facts WHERE sent_at < {NOW} GROUP BY 1),
-c AS (SELECT account, template, category, CAST(sum(earnings) AS DOUBLE) AS revenue, max(sent_date) AS last_date FROM c_facts JOIN c_templates USING (template)
-      WHERE sent_at < {NOW} GROUP BY 1, 2, 3),
+c AS (SELECT k.account, k.template, category, coalesce(revenue, 0) AS revenue, last_date
+      FROM (SELECT owned_by AS account, template FROM c_templates UNION SELECT account, template FROM c_facts) k JOIN c_templates t ON t.template = k.template
+      LEFT JOIN (SELECT account, template, CAST(sum(earnings) AS DOUBLE) AS revenue, max(sent_date) AS last_date FROM c_facts
+        WHERE sent_at < {NOW} GROUP BY 1, 2) f ON f.account = k.account AND f.template = k.template),
 s AS (SELECT account, list(template ORDER BY rank) AS suggestions FROM (SELECT *, row_number() OVER (PARTITION BY account
-      ORDER BY ({TODAY} - last_date >= 5) DESC, revenue DESC, template) AS rank FROM c QUALIFY rank <= 10) GROUP BY 1),
-v AS (SELECT account, count(DISTINCT template) AS avoid_count FROM c_facts WHERE sent_at >= {NOW} - INTERVAL 7 DAY AND sent_at < {NOW} GROUP BY 1)
-SELECT account, assignee, page_state, coalesce(best_hours, []) AS best_hours, p25, p50, p75, suggestions, coalesce(avoid_count, 0) AS avoid_count
+      ORDER BY coalesce({TODAY} - last_date >= 28, true) DESC, revenue DESC, template) AS rank FROM c QUALIFY rank <= 10) GROUP BY 1),
+v AS (SELECT account, count(DISTINCT template) AS avoid_count, list(DISTINCT template ORDER BY template) AS avoid FROM c_facts WHERE sent_at >= {NOW} - INTERVAL 7 DAY AND sent_at < {NOW} GROUP BY 1)
+SELECT account, assignee, page_state, coalesce(best_hours, []) AS best_hours, p25, p50, p75, suggestions, coalesce(avoid_count, 0) AS avoid_count, coalesce(avoid, []) AS avoid
 FROM c_accounts LEFT JOIN h USING (account) LEFT JOIN b USING (account) LEFT JOIN s USING (account) LEFT JOIN v USING (account)"""
 
 
@@ -275,7 +277,7 @@ def brief(spark, d):
     return slots.daily_brief(src.accounts(spark, d), sem.local(spark, d), sem.facts(spark, d), src.templates(spark, d), AS_OF)
 
 
-@product("daily_brief", "account assignee page_state best_hours:j p25:r p50:r p75:r suggestions:j avoid_count:i", "SELECT * FROM c_brief")
+@product("daily_brief", "account assignee page_state best_hours:j p25:r p50:r p75:r suggestions:j avoid_count:i avoid:j", "SELECT * FROM c_brief")
 def _(spark, d):
     return brief(spark, d).select("*", "price_band.*", F.transform("suggestions", lambda s: s.template).alias("t")).drop("suggestions").withColumnRenamed("t", "suggestions")
 
@@ -420,7 +422,7 @@ def cooldowns(spark, d):
     f, t = sem.facts(spark, d), semantic.in_play(src.templates(spark, d), sem.facts(spark, d))
     return rank.smart_cooldowns(
         diverse(spark, d), semantic.template_features(t), semantic.fatigue_scores(f, AS_OF), semantic.last_used(f, AS_OF),
-        semantic.engagement_scores(t), semantic.engagement_patterns(f, AS_OF, 2), src.accounts(spark, d), AS_OF,
+        semantic.engagement_scores(t), semantic.engagement_patterns(f, AS_OF), src.accounts(spark, d), AS_OF,
     )
 
 
@@ -512,7 +514,7 @@ def _band(which: int) -> str:
 @product(
     "schedule_export",
     "account date_local:d day_name slot send_time price:r ladder_position:i template preview score:r reason slot_note",
-    f"""SELECT *, round(price0 + (ladder_position - 3) * step, 2) AS price FROM (SELECT w.account, w.page_type, date_local, hod, slot_rank, strftime(date_local, '%a') AS day_name, 'Slot ' || (slot_rank + 1) AS slot,
+    f"""SELECT *, round(price0 + [-1, 0, 1, 2, -2][ladder_position] * step, 2) AS price FROM (SELECT w.account, w.page_type, date_local, hod, slot_rank, strftime(date_local, '%a') AS day_name, 'Slot ' || (slot_rank + 1) AS slot,
         strftime(CAST(date_local AS TIMESTAMP) + to_hours(hod) + to_minutes({_jitter(10, 'a.account_page', "strftime(date_local, '%Y%m%d')", 'hod')}), '%H:%M') AS send_time,
         CASE WHEN NOT blocked AND cooldown_ok AND dedupe_ok THEN template ELSE CASE w.page_type WHEN 'main' THEN 'FALLBACK_001' WHEN 'vip' THEN 'FALLBACK_002' END END AS template,
         substr(body, 1, 100) AS preview, round(coalesce(score_100, 0)) AS score,

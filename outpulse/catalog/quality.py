@@ -68,8 +68,8 @@ def _(spark, d):
     "executive_summary", "accounts:i active_days:i messages:i revenue:r conversion:r previous_revenue:r previous_conversion:r per_account:r per_message:r growth:r conversion_change:r",
     f"""SELECT *, revenue / accounts AS per_account, revenue / messages AS per_message, (revenue - previous_revenue) / previous_revenue AS growth, conversion - previous_conversion AS conversion_change
       FROM (SELECT count(DISTINCT account) AS accounts, count(DISTINCT sent_date) AS active_days, count(*) AS messages, CAST(sum(earnings) AS DOUBLE) AS revenue, sum(purchased) / sum(sent) AS conversion
-          FROM c_facts WHERE sent_at >= {NOW} - INTERVAL 14 DAY AND sent_at < {NOW}),
-        (SELECT CAST(sum(earnings) AS DOUBLE) AS previous_revenue, sum(purchased) / sum(sent) AS previous_conversion FROM c_facts WHERE sent_at >= {NOW} - INTERVAL 28 DAY AND sent_at < {NOW} - INTERVAL 14 DAY)""",
+          FROM c_facts WHERE sent_at >= {NOW} - INTERVAL 30 DAY AND sent_at < {NOW}),
+        (SELECT CAST(sum(earnings) AS DOUBLE) AS previous_revenue, sum(purchased) / sum(sent) AS previous_conversion FROM c_facts WHERE sent_at >= {NOW} - INTERVAL 60 DAY AND sent_at < {NOW} - INTERVAL 30 DAY)""",
 )
 def _(spark, d):
     return quality.executive_summary(sem.facts(spark, d), AS_OF)
@@ -97,7 +97,7 @@ def _(spark, d):
 @product(
     "exploration_balance", "account_page total:i new:i exploring:i exploiting:i avg_ucb:r status",
     """SELECT *, CASE WHEN new > 0.3 * total THEN 'High Exploration' WHEN new > 0.1 * total THEN 'Balanced' ELSE 'Low Exploration' END AS status FROM (SELECT account_page, count(*) AS total,
-        count(*) FILTER (sends_30d < 60) AS new, count(*) FILTER (sends_30d BETWEEN 60 AND 200) AS exploring, count(*) FILTER (sends_30d > 200) AS exploiting, avg(ucb) AS avg_ucb FROM c_store GROUP BY 1)""",
+        count(*) FILTER (sends_30d < 10) AS new, count(*) FILTER (sends_30d BETWEEN 10 AND 50) AS exploring, count(*) FILTER (sends_30d > 50) AS exploiting, avg(ucb) AS avg_ucb FROM c_store GROUP BY 1)""",
 )
 def _(spark, d):
     return quality.exploration_balance(rk.store(spark, d))
@@ -317,7 +317,7 @@ _HASH2 = "sha256(regexp_replace(nfc_normalize(lower(trim(body))), '\\s+', ' ', '
 SHARED_SQL["c_inflow"] = f"""
 SELECT s.*, length_bin, emoji_bin, has_cta, has_urgency, ends_with_question, content_level, theme_tags FROM (
   SELECT doc_id AS source_id, body, doc_id % 2 + 1 AS priority, {_MD5} AS hash_v1, {_HASH2} AS hash_v2 FROM c_templates
-  WHERE length(trim(body)) BETWEEN 3 AND 2000 AND NOT contains(body, '�')
+  WHERE length(trim(body)) >= 3 AND NOT contains(body, '�')
   QUALIFY row_number() OVER (PARTITION BY {_HASH2} ORDER BY doc_id % 2 + 1, doc_id) = 1) s JOIN c_features f ON f.template = 'tpl_' || source_id
 WHERE hash_v1 NOT IN (SELECT {_MD5} FROM c_templates WHERE doc_id % 5 = 0) AND hash_v2 NOT IN (SELECT {_HASH2} FROM c_templates WHERE doc_id % 5 = 0)"""
 
@@ -333,6 +333,17 @@ def _(spark, d):
     return inflow(spark, d)
 
 
+@product(
+    "refused_templates", "source_id:i priority:i reason",
+    """SELECT doc_id AS source_id, doc_id % 2 + 1 AS priority, CASE WHEN body IS NULL THEN 'no text' WHEN length(trim(body)) < 20 THEN 'too short'
+         WHEN length(trim(body)) > 2000 THEN 'too long' ELSE 'damaged text' END AS reason FROM c_templates
+       WHERE body IS NULL OR length(trim(body)) NOT BETWEEN 20 AND 2000 OR contains(body, '�')""",
+)
+def _(spark, d):
+    docs = src.templates(spark, d).selectExpr("doc_id AS source_id", "body", "doc_id % 2 + 1 AS priority")
+    return content.refused_templates(docs, 20, 2000)
+
+
 @product(
     "bank_additions", "template_id hash_v2 kind content_level theme_tags length_class times_used:i",
     "SELECT 'CAP_' || substr(hash_v2, 1, 16) AS template_id, hash_v2, 'main' AS kind, content_level, theme_tags, length_bin AS length_class, 0 AS times_used FROM c_inflow",
@@ -449,7 +460,7 @@ def _(spark, d):
 
 
 SHARED_SQL["c_feedback"] = """
-WITH o AS (SELECT message_id AS override_id, account, sender AS assignee, template AS new_template, 'tpl_' || ((CAST(substr(template, 5) AS BIGINT) + 1) % 20) AS old_template, sent_date AS day
+WITH o AS (SELECT message_id AS override_id, account, sender AS assignee, template AS new_template, 'tpl_' || ((CAST(substr(template, 5) AS BIGINT) + 1) % (SELECT count(*) FROM documents)) AS old_template, sent_date AS day
     FROM c_facts WHERE CAST(substr(message_id, 2) AS BIGINT) % 4 = 0),
 a AS (SELECT account, template, sent_date, CAST(sum(earnings) AS DOUBLE) AS revenue FROM c_facts GROUP BY 1, 2, 3),
 p AS (SELECT account, template, avg(earnings::DOUBLE) AS projected FROM c_facts GROUP BY 1, 2)
@@ -461,7 +472,7 @@ def feedback(spark, d):
     f = sem.facts(spark, d)
     o = f.where(F.substring("message_id", 2, 20).cast("long") % 4 == 0).select(
         F.col("message_id").alias("override_id"), "account", F.col("sender").alias("assignee"), F.col("template").alias("new_template"),
-        F.concat(F.lit("tpl_"), (F.substring("template", 5, 9).cast("long") + 1) % 20).alias("old_template"), F.col("sent_date").alias("day"))
+        F.concat(F.lit("tpl_"), ((F.substring("template", 5, 18).cast("long") + 1) % src.table(spark, d, "documents").agg(F.count(F.lit(1))).scalar()).cast("string")).alias("old_template"), F.col("sent_date").alias("day"))
     p = f.groupBy("account", "template").agg(F.avg(F.col("earnings").cast("double")).alias("projected"))
     return content.override_feedback(o, f, p)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from outpulse.catalog.base_sql import ratio
 from outpulse.catalog.registry import SHARED_SQL, layer, product
 from outpulse.plans import ingest, semantic
@@ -125,7 +127,7 @@ def _(spark, d):
 
 
 SHARED_SQL["c_last_used"] = f"SELECT account, template, max(sent_at) AS last_used_at FROM c_valid WHERE sent_at < {NOW} GROUP BY 1, 2"
-SHARED_SQL["c_pairs"] = "SELECT DISTINCT account, template FROM c_facts"
+SHARED_SQL["c_pairs"] = "SELECT DISTINCT account, template FROM c_facts UNION SELECT owned_by, template FROM c_templates"
 SHARED_SQL["c_pool"] = f"""
 SELECT p.account, account_page, p.template, f.length_bin, f.emoji_bin, f.has_cta, f.has_urgency, f.ends_with_question, f.category,
   f.content_level, last_used_at, (last_used_at IS NULL OR last_used_at < {NOW} - INTERVAL 7 DAY) AS cooldown_ok
@@ -140,12 +142,13 @@ def _(spark, d):
 
 
 def pool(spark, d):
-    pairs = facts(spark, d).select("account", "template").distinct()
-    safe = semantic.safe_candidates(used_features(spark, d), pairs, src.accounts(spark, d))
+    sent = facts(spark, d).select("account", "template")
+    owned = src.templates(spark, d).select(F.col("owned_by").alias("account"), "template")
+    safe = semantic.safe_candidates(features(spark, d), sent.unionByName(owned).distinct(), src.accounts(spark, d))
     return semantic.candidate_pool(safe, semantic.last_used(facts(spark, d), AS_OF), AS_OF, 7)
 
 
-@product("candidate_pool", "account account_page template content_level length_bin cooldown_ok", "SELECT * FROM c_pool")
+@product("candidate_pool", "account account_page template content_level length_bin last_used_at:t cooldown_ok", "SELECT * FROM c_pool")
 def _(spark, d):
     return pool(spark, d)
 
@@ -161,7 +164,7 @@ SELECT account, 1 - {ratio('sqrt(avg(volatility ** 2))', 'avg(avg_earnings)')} A
 FROM (SELECT account, hour(sent_at) AS hour, dayofweek(sent_at) + 1 AS weekday, avg({ratio('purchased', 'sent')}) AS conversion,
   avg(price::DOUBLE) AS avg_price, avg(earnings::DOUBLE) AS avg_earnings, stddev_samp(earnings::DOUBLE) AS volatility,
   count(*) AS messages, CAST(sum(earnings) AS DOUBLE) AS earnings
-  FROM c_facts WHERE sent_at < {NOW} GROUP BY 1, 2, 3 HAVING count(*) >= 2) GROUP BY 1"""
+  FROM c_facts WHERE sent_at < {NOW} GROUP BY 1, 2, 3 HAVING count(*) >= 3) GROUP BY 1"""
 
 
 @product(
@@ -171,7 +174,7 @@ FROM (SELECT account, hour(sent_at) AS hour, dayofweek(sent_at) + 1 AS weekday,
     "SELECT * REPLACE(string_split(top_windows, ',') AS top_windows) FROM c_patterns",
 )
 def _(spark, d):
-    return semantic.engagement_patterns(facts(spark, d), AS_OF, 2)
+    return semantic.engagement_patterns(facts(spark, d), AS_OF)
 
 
 SHARED_SQL["c_hour_profile"] = f"""

@@ -33,18 +33,19 @@ def nearest_in_time(
     )
     inside = Window.partitionBy(*keys, "_c").orderBy("_t")
     back = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = inside.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # The same running frame on the reversed order: a frame that ends unbounded is recomputed for every row.
+    ahead = Window.partitionBy(*keys, "_c").orderBy(F.col("_t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     line = l.unionByName(r)
     near = line.select(
         *keys, "_c", "_t", left_id,
-        F.last("_r", ignorenulls=True).over(back).alias("_p"), F.first("_r", ignorenulls=True).over(ahead).alias("_n"),
+        F.last("_r", ignorenulls=True).over(back).alias("_p"), F.last("_r", ignorenulls=True).over(ahead).alias("_n"),
     ).where(F.col(left_id).isNotNull())
     ends = line.groupBy(*keys, "_c").agg(F.min("_r").alias("_lo"), F.max("_r").alias("_hi"))
     over_chunks = Window.partitionBy(*keys).orderBy("_c")  # one row per chunk
     carry = ends.select(
         *keys, "_c",
         F.last("_hi", ignorenulls=True).over(over_chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_cp"),
-        F.first("_lo", ignorenulls=True).over(over_chunks.rowsBetween(1, Window.unboundedFollowing)).alias("_cn"),
+        F.last("_lo", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(F.col("_c").desc()).rowsBetween(Window.unboundedPreceding, -1)).alias("_cn"),
     )
     both = near.join(carry, [*keys, "_c"], "left")
     prev, nxt = F.coalesce("_p", "_cp"), F.coalesce("_n", "_cn")

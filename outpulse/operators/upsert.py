@@ -64,6 +64,7 @@ def upsert_partitions(
     # The old files are read and replaced in one step, so the rows are fixed first.
     (
         stabilise(rows)
+        .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -12,7 +12,9 @@ from outpulse.functions.numeric import num, ratio
 from outpulse.operators.joins import absent_from, group_stats, salted_lookup
 from outpulse.operators.matching import best_similar
 from outpulse.operators.ranking import first_per_key
+from outpulse.operators.upsert import added_only
 from outpulse.plans.ingest import parsed_reports
+from outpulse.session import stabilise
 
 
 def backfill(reports: DataFrame, names: DataFrame, active: DataFrame) -> DataFrame:
@@ -42,10 +44,24 @@ def quarantine(reports: DataFrame, first_year: int, last_year: int) -> tuple[Dat
     return rows.where(ok), bad
 
 
-def template_inflow(sources: DataFrame, bank: DataFrame) -> DataFrame:
+def refusal(min_chars: int = 3, max_chars: int | None = None) -> Column:
+    """Why a text is not taken, NULL where it is."""
+    n = F.length(F.trim("body"))
+    return (
+        F.when(F.col("body").isNull(), "no text").when(n < min_chars, "too short").when(n > max_chars if max_chars is not None else F.lit(False), "too long")
+        .when(F.col("body").contains("�"), "damaged text")
+    )
+
+
+def refused_templates(sources: DataFrame, min_chars: int = 3, max_chars: int | None = None) -> DataFrame:
+    """The rows the inflow does not take, with the reason."""
+    return sources.withColumn("reason", refusal(min_chars, max_chars)).where(F.col("reason").isNotNull())
+
+
+def template_inflow(sources: DataFrame, bank: DataFrame, min_chars: int = 3, max_chars: int | None = None) -> DataFrame:
     """New copy from prioritised sources: best source per canonical text, size
     and damage guards, and not in the bank under either hash."""
-    s = sources.where(F.col("body").isNotNull() & F.length(F.trim("body")).between(3, 2000) & ~F.col("body").contains("�")).withColumns({
+    s = sources.where(refusal(min_chars, max_chars).isNull()).withColumns({
         "hash_v1": F.md5(F.lower(F.trim("body"))), "hash_v2": text.canonical_hash("body")})
     best = first_per_key(s, ["hash_v2"], [F.col("priority"), F.col("source_id")])
     fresh = absent_from(best, (bank, ["hash_v1"]), (bank, ["hash_v2"]))
@@ -63,17 +79,21 @@ def bank_rows(inflow: DataFrame) -> DataFrame:
 
 
 def update_bank(spark: SparkSession, inflow: DataFrame, bank_path: str, log_path: str, run_id: str, run_at: str) -> dict:
-    """Append new rows to the bank and log the run; a failure is logged, then
-    raised again."""
+    """Append new rows to the bank and log the run; a failure is logged whole,
+    then raised again.  A repeated run finds its rows there and adds none."""
     error, added, seen = None, 0, 0
     try:
-        seen = inflow.count()
-        rows = bank_rows(inflow)
-        rows.write.mode("append").parquet(bank_path)
+        rows = stabilise(bank_rows(inflow))
+        seen = rows.count()
+        target = spark._jvm.org.apache.hadoop.fs.Path(bank_path)
+        if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+            old = spark.read.schema(rows.schema).parquet(bank_path)
+            rows = stabilise(added_only(old, rows, ["hash_v2"], [F.col("template_id")]))
         added = rows.count()
+        rows.write.mode("append").parquet(bank_path)
         return {"source_rows": seen, "inserted": added}
     except Exception as exc:
-        error = str(exc)[:500]
+        error = str(exc)
         raise
     finally:
         spark.createDataFrame(

@@ -51,7 +51,7 @@ def prediction_accuracy(predictions: DataFrame, facts: DataFrame) -> DataFrame:
         "accuracy", F.when(F.col("error") <= 0.01, "EXCELLENT").when(F.col("error") <= 0.02, "GOOD").when(F.col("error") <= 0.03, "FAIR").otherwise("POOR"))
 
 
-def executive_summary(facts: DataFrame, as_of: str, days: int = 14) -> DataFrame:
+def executive_summary(facts: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """This period against the one before it, in one row."""
     now, before = clock.within_days("sent_at", as_of, days), clock.within_days("sent_at", as_of, 2 * days) & ~clock.within_days("sent_at", as_of, days)
 
@@ -84,10 +84,10 @@ def top_templates(store: DataFrame, k: int = 100) -> DataFrame:
     return r.withColumn("status", status).orderBy("overall_rank", "account_page", "template").limit(k)  # a top-k report
 
 
-def exploration_balance(store: DataFrame) -> DataFrame:
+def exploration_balance(store: DataFrame, new_below: int = 10, exploring_to: int = 50) -> DataFrame:
     n = F.col("performance.sends_30d")
     b = store.groupBy("account_page").agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(n < 60).alias("new"), F.count_if(n.between(60, 200)).alias("exploring"), F.count_if(n > 200).alias("exploiting"), F.avg("exploration.ucb").alias("avg_ucb"))
+        F.count(F.lit(1)).alias("total"), F.count_if(n < new_below).alias("new"), F.count_if(n.between(new_below, exploring_to)).alias("exploring"), F.count_if(n > exploring_to).alias("exploiting"), F.avg("exploration.ucb").alias("avg_ucb"))
     return b.withColumn("status", F.when(F.col("new") > 0.3 * F.col("total"), "High Exploration").when(F.col("new") > 0.1 * F.col("total"), "Balanced").otherwise("Low Exploration"))
 
 

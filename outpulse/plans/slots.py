@@ -130,7 +130,7 @@ def weekly_plan(policy: DataFrame, scores: DataFrame, prices: DataFrame, weights
     })
     step = whole(ratio(F.greatest(F.col("a_end") - F.col("a_start"), F.lit(2)), F.greatest(F.col("quota") - 1, F.lit(1))))
     pool = pool.withColumn("step", F.least(F.lit(6), F.greatest(F.lit(2), step)))
-    slots = pool.withColumn("slot_rank", F.explode(F.sequence(F.lit(0), F.least(F.col("quota") - 1, F.lit(9)).cast("int"))))
+    slots = pool.withColumn("slot_rank", F.explode(F.sequence(F.lit(0), F.least(F.col("quota") - 1, F.col("max_h") - F.col("min_h")).cast("int"))))
     anchor = F.when(F.col("quota") == 1, whole((F.col("a_start") + F.col("a_end")) / 2.0)).otherwise(
         F.col("a_start") + F.col("slot_rank") * F.col("step") + F.pmod(F.col("seed") + F.col("slot_rank"), F.lit(3)) - 1
     )
@@ -360,7 +360,7 @@ def plan_summary(plan: DataFrame) -> DataFrame:
     return plan.groupBy(*DAY).agg(F.count(F.lit(1)).alias("slots"), F.min("hod").alias("first_hour"), F.max("hod").alias("last_hour"), F.avg("price").alias("avg_price"))
 
 
-def daily_brief(accounts: DataFrame, local: DataFrame, facts: DataFrame, templates: DataFrame, as_of: str) -> DataFrame:
+def daily_brief(accounts: DataFrame, local: DataFrame, facts: DataFrame, templates: DataFrame, as_of: str, rest_days: int = 28) -> DataFrame:
     """Best hours, price band and suggested copy per account."""
     age = clock.whole_units("DAY", "local_at", clock.moment(as_of))
     hours = local.groupBy("account", "hod").agg(F.sum(num("earnings") * F.exp(-age / 60.0)).alias("s")).groupBy("account").agg(
@@ -369,28 +369,32 @@ def daily_brief(accounts: DataFrame, local: DataFrame, facts: DataFrame, templat
         F.percentile_approx(num("price"), F.array(F.lit(0.4), F.lit(0.5), F.lit(0.7)), F.lit(10000)).alias("q"))
     cap = facts.where(clock.within_days("sent_at", as_of, 180)).groupBy("account", "template").agg(
         F.sum("earnings").cast("double").alias("revenue"), F.max("sent_date").alias("last_date"))
+    # All copy an account owns or has ever sent can be suggested; never sent is rested, without revenue.
+    known = templates.select(F.col("owned_by").alias("account"), "template").unionByName(facts.select("account", "template")).distinct()
+    cap = known.join(cap, ["account", "template"], "left").withColumn("revenue", F.coalesce("revenue", F.lit(0.0)))
     cap = salted_lookup(cap, templates.select("template", "category"), ["template"], "inner")
-    rested = (clock.days_between(clock.day(as_of), "last_date") >= 5).cast("int")
+    rested = F.coalesce(clock.days_between(clock.day(as_of), "last_date") >= rest_days, F.lit(True)).cast("int")
     best = top_k(cap.withColumn("rested", rested), ["account"], [F.col("rested").desc(), F.col("revenue").desc(), F.col("template")], 10)
     best = best.groupBy("account").agg(F.sort_array(F.collect_list(F.struct("rank", "template", "category", "revenue"))).alias("suggestions"))
     recent = facts.where(clock.within_days("sent_at", as_of, 7)).select("account", "template").distinct()
     # Every template of the week is kept; the list is per account and week.
-    avoid = recent.groupBy("account").agg(F.count(F.lit(1)).alias("avoid_count"))
+    avoid = recent.groupBy("account").agg(F.count(F.lit(1)).alias("avoid_count"), F.sort_array(F.collect_list("template")).alias("avoid"))
     out = accounts.select("account", "assignee", "page_state")
     for side in (hours, band, best, avoid):
         out = out.join(side, "account", "left")
     return out.select(
         "account", "assignee", "page_state", F.transform(F.coalesce("h", F.array().cast("array<struct<s:double,neg:int>>")), lambda x: -x.neg).alias("best_hours"),
         F.struct(F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75")).alias("price_band"), "suggestions",
-        F.coalesce("avoid_count", F.lit(0)).alias("avoid_count"),
+        F.coalesce("avoid_count", F.lit(0)).alias("avoid_count"), F.coalesce("avoid", F.array().cast("array<string>")).alias("avoid"),
     )
 
 
 def brief_rows(brief: DataFrame, users: DataFrame, user: str) -> DataFrame:
     """Brief flattened for one user: their own accounts, or all if allowed."""
-    me = users.where(F.lower("email") == user.lower()).select(F.col("assignee").alias("mine"), F.coalesce("can_view_all", F.lit(False)).alias("all_rows")).limit(1)
-    mine, all_rows = me.select("mine").scalar(), F.coalesce(me.select("all_rows").scalar(), F.lit(False))
-    return brief.where(all_rows | (F.col("assignee") == mine)).select(
+    me = users.where(F.lower("email") == user.lower()).select(F.col("assignee").alias("mine"), F.coalesce("can_view_all", F.lit(False)).alias("all_rows"))
+    all_rows = F.coalesce(me.agg(F.max("all_rows")).scalar(), F.lit(False))
+    own = brief.join(me.select("mine").distinct(), F.col("assignee") == F.col("mine"), "left").where(all_rows | F.col("mine").isNotNull()).drop("mine")
+    return own.select(
         "assignee", "account", "page_state", "price_band.p25", "price_band.p50", "price_band.p75",
         *[F.get("best_hours", F.lit(i)).alias(f"hod{i + 1}") for i in range(5)], F.explode_outer("suggestions").alias("s"),
     ).select("*", F.col("s.template").alias("template"), F.col("s.category").alias("category"), F.col("s.revenue").alias("revenue"),
@@ -400,6 +404,7 @@ def brief_rows(brief: DataFrame, users: DataFrame, user: str) -> DataFrame:
 # Price steps per tier and page type (best price, step).
 PRICE_BANDS = {("high", "main"): (38.0, 3.0), ("high", "vip"): (50.0, 5.0), ("medium", "main"): (24.0, 2.0),
                ("medium", "vip"): (32.0, 3.0), ("low", "main"): (14.0, 1.5), ("low", "vip"): (19.0, 2.0)}
+LADDER = (-1.0, 0.0, 1.0, 2.0, -2.0)  # steps from the best price by position; the third is the canonical one
 FALLBACKS = {"main": ("FALLBACK_001", 9.99), "vip": ("FALLBACK_002", 14.99)}
 
 
@@ -425,7 +430,7 @@ def schedule_export(ranked: DataFrame, templates: DataFrame, accounts: DataFrame
         F.coalesce("score_100", F.lit(0.0)).alias("score"), reason.alias("reason"),
         F.to_json(F.struct("category", "cooldown_ok", "dedupe_ok", "cold_start", "days_since_used")).alias("details"),
     )
-    step = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(float(i - 2)).alias("off")) for i in range(5)]))
+    step = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(off).alias("off")) for i, off in enumerate(LADDER)]))
     return rows.withColumn("l", step).select(
         "account", "page_type", "assignee", "date_local", "hod", "slot_rank", F.date_format("date_local", "EEE").alias("day_name"),
         F.concat(F.lit("Slot "), (F.col("slot_rank") + 1).cast("string")).alias("slot"), F.date_format("send_at", "HH:mm").alias("send_time"),

@@ -26,17 +26,29 @@ def build_session(app: str = "outpulse", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors see.
+
+    On a cluster without that setting this is an error, since a folder of one
+    machine cannot be read by the others; only in local mode is one made.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="outpulse-checkpoint-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
+
+
 def stabilise(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder.
 
     Used where several branches read the same aggregate: a recomputed sum of
     doubles may differ in its last bit, and a lost executor must not change
-    which rank bucket a row falls into.  The folder is the cluster's own
-    ``spark.checkpoint.dir``; a temporary one is made only where none is set.
+    which rank bucket a row falls into.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="outpulse-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -28,13 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def send_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as one send per row: a narrow projection, no shuffle."""
     n = "event_id"
+    copies = table(spark, sf_dir, "documents").agg(F.count(F.lit(1))).scalar()
     return (
         spread(table(spark, sf_dir, "events"), "event_id")
         .withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+        # An account's copies are neighbours in the library, few of them sent often; all accounts together
+        # use the whole of it, however large.
+        .withColumn("template", F.concat(F.lit("tpl_"), (F.expr("user_id * 20 + k * k div 100") % copies).cast("string")))
         .selectExpr(
             "concat('m', event_id) AS message_id",
             "concat('acct_', user_id) AS account",
-            "concat('tpl_', k % 20) AS template",
+            "template",
             "concat('S', user_id % 7) AS sender",
             "ts AS sent_at",
             "to_date(ts) AS sent_date",
@@ -58,7 +62,7 @@ def sales_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(parts, lines.l_partkey == parts.p_partkey).selectExpr(
         "concat(l_orderkey, '-', l_linenumber) AS message_id",
         "concat('acct_', l_suppkey) AS account",
-        "concat('tpl_', l_partkey % 50) AS template",
+        "concat('tpl_', l_partkey) AS template",
         "concat('S', l_suppkey % 7) AS sender",
         """l_shipdate + make_dt_interval(0, cast(l_orderkey % 24 AS int),
                                          cast(l_linenumber * 7 % 60 AS int)) AS sent_at""",
@@ -116,11 +120,12 @@ def spread(df: DataFrame, key: str, small: int = 32 << 20) -> DataFrame:
 
 
 def templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as the message-copy library."""
+    """``documents`` as the message-copy library; every copy has an owner, sent or not."""
+    senders = table(spark, sf_dir, "events").agg(F.max("user_id")).scalar()
     return table(spark, sf_dir, "documents").selectExpr(
         "concat('tpl_', doc_id) AS template",
         "doc_id",
         "text AS body",
         "source AS category",
         "lang",
-    )
+    ).withColumn("owned_by", F.concat(F.lit("acct_"), (F.col("doc_id") % senders + 1).cast("string")))

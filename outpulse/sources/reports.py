@@ -112,22 +112,28 @@ def missing_required(df: DataFrame) -> DataFrame:
     return df.withColumn("reasons", reasons).where(F.size("reasons") > 0)
 
 
-def land(df: DataFrame, path: str) -> None:
-    """Append to the landing table, one directory per ingestion day."""
+def land(df: DataFrame, path: str, rejects_path: str | None = None) -> None:
+    """Append to the landing table, one directory per ingestion day.
+
+    Rows that lack a required value go to ``rejects_path``, whole and with the
+    reasons; without such a path a batch with bad rows is refused.
+    """
     lacking = [f.name for f in LANDING_SCHEMA if f.name not in df.columns]
     if lacking:
         raise ValueError(f"landing batch lacks {lacking}")
     rows = df.select(*[F.col(f.name).cast(f.dataType) for f in LANDING_SCHEMA])
-    valid = rows.dropna("any", subset=REQUIRED)
-    valid.repartition("ingestion_date", F.pmod(F.xxhash64("message_id"), F.lit(16))).write.mode(
-        "append"
-    ).partitionBy("ingestion_date").parquet(path)
+    bad = missing_required(rows)
+    if rejects_path is not None:
+        bad.write.mode("append").parquet(rejects_path)
+    elif not bad.isEmpty():
+        raise ValueError("rows lack required values; name a path for them")
+    rows.dropna("any", subset=REQUIRED).hint("rebalance", "ingestion_date").write.mode("append").partitionBy("ingestion_date").parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition: str, cluster: list[str]) -> None:
     """Create-or-replace, partitioned by date and sorted inside files."""
     (
-        df.repartition(partition, F.pmod(F.xxhash64(*cluster), F.lit(16)))
+        df.hint("rebalance", partition)
         .sortWithinPartitions(partition, *cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -161,7 +167,8 @@ def landing_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spread(table(spark, sf_dir, "events"), "event_id")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    joined = events.join(parts, F.expr("event_id * 7 % 200 = p_partkey")).join(
+    keys = parts.agg(F.struct(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("first"))).scalar()
+    joined = events.join(parts, F.expr("event_id * 7") % keys["n"] + keys["first"] == F.col("p_partkey")).join(
         people, events.user_id == people.c_custkey
     )
     money = "concat('$', format_number({}, '#,##0.00'))"

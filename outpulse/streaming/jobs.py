@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from outpulse.functions import clock
 from outpulse.functions.numeric import ratio
 from outpulse.operators import upsert
 from outpulse.plans import ingest
+from outpulse.session import stabilise
 from outpulse.sources.reports import LANDING_SCHEMA
 
 HORIZON = "7 days"
@@ -35,7 +37,7 @@ def _wait(query: StreamingQuery) -> StreamingQuery:
 def land_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append what is new to the landing table, one folder per ingestion day."""
     return _wait(
-        stream.dropna("any", subset=["message_id", "source_file", "ingested_at"])
+        stream.dropna("any", subset=list(REQUIRED))
         .writeStream.format("parquet").outputMode("append").partitionBy("ingestion_date")
         .option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
@@ -47,21 +49,39 @@ def upsert_stream(
     """Normalise each batch and merge it into the fact table.
 
     A batch rewrites only the send dates it holds, with a freshness guard, so
-    replaying it after a failure changes nothing.  Rows whose send date is
-    outside the accepted range go to quarantine with the reason.
+    replaying it after a failure changes nothing.  Raw rows whose send time is
+    unreadable or outside the accepted range go to quarantine with the reason.
     """
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = ingest.normalised_reports(batch, "1900-01-01", "9999-12-31")
-        ok = F.coalesce(F.col("sent_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")), F.lit(False))
-        bad = rows.where(~ok).select(F.lit("send date out of range").alias("reason"), "message_id", F.to_json(F.struct("sender", "sent_at", "price", "sent")).alias("raw_data"))
-        bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path)
-        upsert.upsert_partitions(spark, path, rows.where(ok), ["send_key"], "sent_date", "ingested_at", "message_id")
+        # Split on the raw rows: what cannot be used keeps every original value.
+        day = F.to_date(clock.parse_report_time("sending_time"))
+        ok = F.coalesce(day.between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")), F.lit(False))
+        rows = stabilise(batch.withColumn("_ok", ok))
+        bad = rows.where("NOT _ok").drop("_ok")
+        reason = F.when(day.isNull(), "unreadable send time").otherwise("send date out of range")
+        bad = bad.select(reason.alias("reason"), "message_id", F.to_json(F.struct(*bad.columns)).alias("raw_data"), F.lit(batch_id).alias("batch_id"))
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path)
+        good = stabilise(ingest.normalised_reports(rows.where("_ok").drop("_ok"), "1900-01-01", "9999-12-31"))
+        upsert.upsert_partitions(spark, path, good, ["send_key"], "sent_date", "ingested_at", "message_id")
 
     return _wait(stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+REQUIRED = ("message_id", "source_file", "ingested_at")
+
+
+def rejected_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """What ``land_stream`` and ``daily_totals_stream`` cannot use, as raw rows with the reason."""
+    lacking = F.array_join(F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in REQUIRED]), lambda r: r.isNotNull()), ", ")
+    reason = F.when(lacking != "", lacking).when(clock.parse_report_time("sending_time").isNull(), "unreadable send time")
+    return _wait(
+        stream.withColumn("reason", reason).where("reason IS NOT NULL")
+        .writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def daily_totals_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Sends per sender and day over a tumbling window, kept up to date.
 

@@ -10,12 +10,13 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from outpulse.session import build_session
 
     session = build_session(
         "outpulse-tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+           "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
