@@ -21,27 +21,20 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= estimated_bytes(df) <= limit
 
 
-def useful_salts(df: DataFrame) -> int:
-    """How far spreading one key can help: a fraction of the shuffle
-    partitions, 16 at most.  With a handful of partitions there is nothing to
-    spread over and the answer is 1."""
-    return min(16, max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")) // 8))
-
-
 def salted_lookup(
     left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", salts: int | None = None
 ) -> DataFrame:
     """Join many rows to at most one row per key.
 
-    A right side whose estimated size is under the broadcast threshold is
-    joined plainly: Spark broadcasts it, so no key gathers anywhere.  Beyond
-    that every left row takes a salt from its own content and the right side
-    is repeated once per salt, so a key with a third of all rows is spread
-    over ``salts`` tasks.  The salt is a hash of the row, never ``rand()``: a
+    By default a plain join: adaptive execution measures the shuffled
+    partitions and splits those that one key has made too large, repeating only
+    the matching right partition (``build_session`` sets it to do so even where
+    a later operator then needs another shuffle).  With ``salts`` every left row takes
+    a salt from its own content and the right side is repeated once per salt,
+    for keys known to be hot.  The salt is a hash of the row, never ``rand()``: a
     task that runs again after a lost executor sends its rows to the same place.
     """
-    salts = useful_salts(left) if salts is None else salts
-    if salts == 1 or fits_broadcast(right):
+    if salts is None or salts <= 1 or fits_broadcast(right):
         return left.join(right, keys, how)
     hashed = [c for c, t in left.dtypes if not t.startswith("map")]
     l = left.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
