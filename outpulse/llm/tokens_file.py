@@ -37,7 +37,7 @@ class Library:
     def _units(self, units: list[str]):
         for i in range(0, len(units), 5000):
             for e in self.tokenizer.encode_batch_fast(units[i : i + 5000], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
+                yield struct.pack(f"<{len(e)}I", *e.ids)
 
     def encode(self, many: list[str]) -> list[bytes]:
         """Each text's ids, little-endian unsigned 32-bit, as the library gives them for the whole text."""

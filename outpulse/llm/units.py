@@ -29,24 +29,47 @@ def bare_units(text: str) -> list[str]:
     return BARE.findall(text)
 
 
+class Places(dict):
+    """Unit to its place in ``ids``; a unit met for the first time gets the next place."""
+
+    def __init__(self, old: dict, old_ids: list):
+        super().__init__()
+        self.old, self.old_ids, self.ids, self.new = old, old_ids, [], []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = place = len(self.ids)
+        before = self.old.get(unit)
+        if before is None:
+            self.new.append((unit, place))
+            self.ids.append(b"")
+        else:
+            self.ids.append(self.old_ids[before])
+        return place
+
+
 class IdCache:
     """Unit to ids (little-endian unsigned 32-bit), filled in batches.
 
     Two generations of at most ``entries`` each, and one batch's units, are
     kept: when the young one is full it becomes the old one, and what is used
-    again moves back, so that frequent units stay.
+    again is taken over, so that frequent units stay.
     """
 
     def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], entries: int = 250_000):
-        self.encode, self.entries, self.young, self.old = encode, entries, {}, {}
+        self.encode, self.entries, self.young = encode, entries, Places({}, [])
 
     def ids(self, split: list[list[str]]) -> list[bytes]:
         """The joined ids of each text's units; the batch's unknown units are encoded together."""
-        if len(self.young) > self.entries:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        missing = [u for u in set().union(*split) if u not in young]
-        young.update([(u, old[u]) for u in missing if u in old])
-        new = [u for u in missing if u not in young]
-        young.update(zip(new, self.encode(new)))
-        return [b"".join([young[u] for u in units]) for units in split]
+        young = self.young
+        if len(young) > self.entries:
+            young.old, young.old_ids = {}, []
+            self.young = young = Places(dict(young), young.ids)
+        places = [[young[u] for u in units] for units in split]
+        known, new, young.new = young.ids, young.new, []
+        try:
+            for (_, place), ids in zip(new, self.encode([u for u, _ in new])):
+                known[place] = ids
+        except BaseException:
+            self.young = Places({}, [])  # no unit may keep a place without its ids
+            raise
+        return [b"".join([known[i] for i in row]) for row in places]
