@@ -21,7 +21,8 @@ ALIKE = 0.8
 BANDS, ROWS = 27, 7  # two texts at 0.8 share a band with odds of 0.998; at 0.6 with 0.53, at 0.4 with 0.04
 COORDINATES = BANDS * ROWS
 PLANES = 4  # bits kept of each coordinate, side by side as planes of 189 bits
-APART = 57  # coordinates that may differ in these bits; at 0.8 the mean is 35 and 57 four deviations beyond it
+APART = 55  # coordinates that may differ in these bits; at 0.8 the mean is 35, and 55 is passed with odds of 0.0001
+LEADERS = 4  # nodes of each bucket that its members are first linked to
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Chances of at most 0, 1, 2, ... darts in a region of measure one.
 POISSON = np.cumsum(np.exp(-1) / np.cumprod([1, *range(1, 16)]))
@@ -189,17 +190,17 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node`` and ``comp`` of the nodes linked to a lesser one.
 
-    Each band's bucket links its members to its least and its greatest node,
-    not to each other.  A member whose component is not that of the bucket's
+    Each band's bucket links its members to a few of its nodes (the least, and
+    the least by other orders), not to each other.  A member whose component is not that of the bucket's
     least node afterwards is compared with the whole bucket, other components
     only and in the first bucket that two nodes share, so a link is lost only
     where two texts at ALIKE share no band.
     """
     rows = nodes.where("rep IS NOT NULL").select("node", F.posexplode("bands").alias("i", "band"))
-    buckets = rows.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("n")).where("n > 1").drop("n")
+    buckets = rows.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n"), F.array(*[F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(1, LEADERS)]).alias("others")).where("n > 1").drop("n")
     held = saved(rows.join(buckets, "band"))
     near = nodes.select("node", "bits")
-    star = held.select("node", F.explode(F.array("first", "last")).alias("leader")).where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared"))
+    star = held.select("node", F.explode(F.array_distinct(F.concat(F.array("first"), "others"))).alias("leader")).where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared"))
     star = star.join(near.select("node", F.col("bits").alias("x")), "node").join(near.select(F.col("node").alias("leader"), F.col("bits").alias("y")), "leader")
     star = saved(star.where(close("x", "y")).select("node", "leader", "shared"))
     wanted = held.select("node").distinct().join(nodes.select("node", "rep"), "node")
@@ -213,7 +214,7 @@ def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     edges = saved(edges.unionByName(links(rest, sets)))
     comps = components(edges)
 
-    placed = saved(of(of(held.drop("last"), "node", "comp"), "first", "main").select("i", "band", "node", "comp", (F.col("comp") != F.col("main")).alias("apart")))
+    placed = saved(of(of(held.drop("others"), "node", "comp"), "first", "main").select("i", "band", "node", "comp", (F.col("comp") != F.col("main")).alias("apart")))
     mixed_buckets = placed.where("apart").select("band").distinct()
     placed = placed.join(mixed_buckets, "band", "left_semi").join(nodes.select("node", "bits", "bands"), "node")
     r = placed.where("apart").select("band", "i", F.col("node").alias("a"), F.col("comp").alias("p"), F.col("bits").alias("x"), F.col("bands").alias("xb"))
