@@ -21,6 +21,13 @@ def ratio(a, b) -> Column:
     return F.try_divide(num(a), num(b))
 
 
+def correlation(x, y) -> Column:
+    """Pearson correlation of the pairs without NULL; NULL where one side does not vary."""
+    x, y = num(x), num(y)
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def dsum(x) -> Column:
     """Exact decimal sum, handed on as a double."""
     return F.sum(col(x)).cast("double")

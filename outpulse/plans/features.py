@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outpulse.functions import clock
-from outpulse.functions.numeric import dsum, half_life, ladder, logistic, num, power_decay, ratio, shrink
+from outpulse.functions.numeric import correlation, dsum, half_life, ladder, logistic, num, power_decay, ratio, shrink
 from outpulse.operators.joins import group_stats, overall, salted_lookup
 from outpulse.operators.ranking import with_percent_ranks
 from outpulse.plans.ingest import FEE_KEPT
@@ -195,7 +195,7 @@ def personal_weights(local: DataFrame, boost: DataFrame, prior_obs: float = 30.0
         ratio(F.max("rev"), F.avg("rev")).alias("peak")
     )
     corr = local.where(F.col("price") > 0).groupBy("account").agg(
-        F.corr(num("price"), num("earnings")).alias("r"), F.count(F.lit(1)).alias("paid_n")
+        correlation(num("price"), num("earnings")).alias("r"), F.count(F.lit(1)).alias("paid_n")
     )
     j = trend.join(hours, "account").join(corr, "account", "left").join(boost.select("account", "volume_boost"), "account", "left")
     r = F.coalesce(F.col("r"), F.lit(0.0)) * F.coalesce(F.col("paid_n") / (F.col("paid_n") + prior_obs), F.lit(0.0))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outpulse.functions import clock, text
-from outpulse.functions.numeric import dsum, half_life, ladder, num, ratio, shrink, strict_least
+from outpulse.functions.numeric import correlation, dsum, half_life, ladder, num, ratio, shrink, strict_least
 from outpulse.operators.joins import salted_lookup
 from outpulse.operators.ranking import top_k, with_percent_ranks
 from outpulse.plans.ingest import FEE_KEPT
@@ -194,7 +194,7 @@ def engagement_patterns(facts: DataFrame, as_of: str, min_sends: int = 3) -> Dat
     agg = hourly.groupBy("account").agg(
         best.alias("windows"),
         (1 - ratio(F.sqrt(F.avg(F.pow("volatility", F.lit(2)))), F.avg("avg_earnings"))).alias("consistency"),
-        (F.count(F.lit(1)) / 168.0).alias("coverage"), F.corr("avg_price", "conversion").alias("price_elasticity"),
+        (F.count(F.lit(1)) / 168.0).alias("coverage"), correlation("avg_price", "conversion").alias("price_elasticity"),
         F.max("conversion").alias("peak_conversion"), F.avg("conversion").alias("avg_conversion"),
         F.sum("earnings").alias("earnings_90d"), F.sum("messages").alias("messages_90d"),
     )
@@ -364,7 +364,7 @@ def price_profile(local: DataFrame) -> DataFrame:
     p = num("price")
     agg = local.where(p > 0).groupBy("account").agg(
         *[quantile("price", q / 100).alias(f"p{q}") for q in (35, 50, 60, 80, 90)],
-        F.corr(p, num("rps")).alias("price_corr"),
+        correlation(p, num("rps")).alias("price_corr"),
     )
     return agg.withColumn(
         "price_mode", F.when(F.col("price_corr") > 0.2, "premium").when(F.col("price_corr") < -0.2, "value").otherwise("balanced")
@@ -427,7 +427,7 @@ def volume_profile(local: DataFrame) -> DataFrame:
     twice = F.col("n") >= 2
     e = daily.groupBy("account").agg(
         F.avg(n).alias("avg_per_day"), F.percentile_approx(n, F.lit(0.9), F.lit(ACCURACY)).alias("q90_per_day"),
-        F.corr(n, "rev").alias("corr_volume_revenue"),
+        correlation(n, "rev").alias("corr_volume_revenue"),
         F.when(F.var_pop(n) == 0, F.lit(0.0)).otherwise(F.try_divide(F.covar_pop(n, "rev"), F.var_pop(n))).alias("slope"),
         F.coalesce(ratio(F.avg(F.when(twice, F.col("last_rev"))), F.avg(F.when(twice, F.col("first_rev")))), F.lit(1.0)).alias("fatigue_ratio"),
     )
