@@ -100,14 +100,14 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
     for length in sorted(left, reverse=True):
         n = left[length]
         while n:
-            room = next((r for r in range(length, size) if rooms.get(r)), None)
-            lengths, m = rooms[room].pop() if room is not None else ((), n)
-            room = size if room is None else room
-            if m > n:
-                rooms[room].append((lengths, m - n))
-                m = n
-            n -= m
-            rooms[room - length].append((lengths + (length,), m))
+            room = next((r for r in range(length, size) if rooms.get(r)), size)
+            each = min(room // length, n)  # copies that one sequence takes before the next is looked at
+            lengths, m = rooms[room].pop() if room < size else ((), n // each)
+            k = min(m, n // each)
+            if m > k:
+                rooms[room].append((lengths, m - k))
+            n -= k * each
+            rooms[room - each * length].append((lengths + (length,) * each, k))
     total: dict[tuple[int, ...], int] = defaultdict(int)
     for found in rooms.values():
         for lengths, n in found:

@@ -263,6 +263,19 @@ def test_plan(n):
         assert sum(t for _, t in found) <= 1.01 * math.ceil(lengths.sum() / 2048)
 
 
+@pytest.mark.parametrize(("histogram", "most"), [
+    ({600: 3000}, 1000), ({1: 3000}, 2), ({300: 1000, 100: 2000}, 250), ({1025: 7, 1: 5000}, 8), ({1: 7000, 600: 2000, 40: 3}, 667),
+])
+def test_plan_shares_sequences_of_a_hot_length(histogram, most):
+    found, used = packing.plan(histogram, 2048), Counter()
+    for pattern, times in found:
+        assert sum(pattern) <= 2048 and times > 0
+        for x in pattern:
+            used[x] += times
+    assert used == histogram
+    assert sum(t for _, t in found) <= most
+
+
 def test_packed_sequences(edges, nothing):
     rows = packing.pack(edges, vocabulary("words"), size=64).collect()
     by = defaultdict(list)
