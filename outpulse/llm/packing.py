@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from itertools import combinations_with_replacement
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -14,52 +14,111 @@ from outpulse.llm.common import by_batch, saved, texts
 from outpulse.llm.tokens_file import END, library
 
 COARSE = 512  # length classes of the fitted patterns
-DEPTH = 2  # documents of a fitted pattern at most; more join when room is left
+DEPTH = 4  # documents of a fitted pattern at most; more join when room is left
+REST = 4  # classes that a fitted pattern may leave empty
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """x >= 0 with least ``|ax - b|``, by Lawson and Hanson's active sets."""
-    x, passive = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
+def active_set(b: np.ndarray, steepest: Callable[[np.ndarray], tuple], rounds: int) -> dict:
+    """The columns, by key, with x > 0 where ``|ax - b|`` is least for x >= 0, by Lawson and Hanson.
+
+    ``steepest`` gives, for a residual, the key, the column and the gradient of
+    the steepest column (key None: all are flat), so they need not be listed.
+    """
+    keys, a, x = [], np.zeros((len(b), 0)), np.zeros(0)
     for _ in range(rounds):
-        gradient = a.T @ (b - a @ x)
-        gradient[passive] = -np.inf
-        if not len(gradient) or gradient.max() <= 1e-9 * max(1.0, np.abs(b).max()):
+        key, column, _ = steepest(b - a @ x)
+        if key is None or key in keys:
             break
-        passive[gradient.argmax()] = True
+        keys, a, x = [*keys, key], np.column_stack([a, column]), np.append(x, 0)
         while True:
-            s = np.zeros_like(x)
-            s[passive] = np.linalg.lstsq(a[:, passive], b, rcond=None)[0]
-            low = passive & (s <= 0)
+            try:
+                s = np.linalg.solve(a.T @ a, a.T @ b)
+            except np.linalg.LinAlgError:
+                s = np.linalg.lstsq(a, b, rcond=None)[0]
+            low = s <= 0
             if not low.any():
                 break
             step = (x[low] / np.maximum(x[low] - s[low], 1e-300)).min()
             x += step * (s - x)
-            passive &= x > 1e-12
-            x[~passive] = 0
+            stay = x > 1e-12
+            keys, a, x = [k for k, held in zip(keys, stay) if held], a[:, stay], x[stay]
         x = s
-    return np.maximum(x, 0)
+    return dict(zip(keys, x))
+
+
+def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
+    """x >= 0 with least ``|ax - b|``."""
+
+    def steepest(residual):
+        gradient = a.T @ residual
+        flat = not len(gradient) or gradient.max() <= 1e-9 * max(1.0, np.abs(b).max())
+        j = None if flat else int(gradient.argmax())
+        return j, None if flat else a[:, j], None if flat else gradient[j]
+
+    x = np.zeros(a.shape[1])
+    for j, value in active_set(b, steepest, rounds).items():
+        x[j] = value
+    return x
+
+
+def fitted(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of up to DEPTH classes that fill a sequence but for REST classes, with their least-squares repeats.
+
+    ``counts`` has the documents of the classes 1, 2, ...; a sequence holds as
+    many classes as there are.  All patterns of present classes take part: the
+    steepest one is composed of two best halves per sum, not looked up in a list.
+    """
+    most = len(counts)
+    sums = np.arange(most + 1)
+    other = sums[None, :] - sums[:, None]
+    inside = other >= 0
+    other = np.where(inside, other, 0)
+
+    def steepest(residual):
+        one = np.where(counts > 0, residual, -np.inf)
+        one = np.append(0.0, one)  # class 0: no document
+        halves = np.where(inside, one[:, None] + one[other], -np.inf)
+        first = halves.argmax(0)
+        two = halves[first, sums]
+        best = (1.0, None)  # less than a document is not worth a pattern
+        for total in range(max(1, most - REST), most + 1):
+            whole = two[: total + 1] + two[total::-1]
+            at = int(whole.argmax())
+            if whole[at] >= best[0]:
+                best = (whole[at], tuple(sorted(int(k) for h in (at, total - at) for k in (first[h], h - first[h]) if k)))
+        gradient, pattern = best
+        return pattern, pattern and np.bincount(pattern, minlength=most + 1)[1:].astype(float), gradient
+
+    return [(p, int(n + 1e-6)) for p, n in sorted(active_set(counts, steepest, 2 * most).items(), key=lambda x: -x[1])]
 
 
 def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths and how often each is used; together they use up the histogram.
 
-    Patterns of up to DEPTH length classes that fill a sequence are enumerated,
+    Patterns of up to DEPTH length classes that about fill a sequence have
     their repeat counts fitted to the histogram by non-negative least squares
     and rounded down.  What is left, and the room that rounding to classes left
     in the patterns, is filled best-fit, largest first, on counts: the work
     depends on ``size`` and the number of different lengths, not on how many
-    documents there are.
+    documents there are.  Best-fit alone is kept where it needs fewer sequences.
     """
-    left = {n: c for n, c in histogram.items() if c > 0}
-    if any(not 0 < n <= size for n in left):
+    histogram = {n: c for n, c in histogram.items() if c > 0}
+    if any(not 0 < n <= size for n in histogram):
         raise ValueError("a length is outside of 1 and the size of a sequence")
     unit = -(-size // COARSE)
+    counts = np.zeros(size // unit)
+    for n, c in histogram.items():
+        if -(-n // unit) <= len(counts):
+            counts[-(-n // unit) - 1] += c
+    return min((filled(histogram, size, unit, patterns) for patterns in (fitted(counts), [])), key=lambda found: sum(n for _, n in found))
+
+
+def filled(histogram: dict[int, int], size: int, unit: int, patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[tuple[int, ...], int]]:
+    """The plan that starts with ``patterns`` of length classes, ``unit`` lengths each."""
+    left = dict(histogram)
     of_class: dict[int, list[int]] = defaultdict(list)
     for n in sorted(left):
         of_class[-(-n // unit)].append(n)
-    most = size // unit
-    counts = np.array([float(sum(left[n] for n in of_class[k])) for k in range(1, most + 1)])
-    patterns = [p for d in range(1, DEPTH + 1) for p in combinations_with_replacement(range(1, most + 1), d) if sum(p) == most and all(of_class[k] for k in p)]
     rooms: dict[int, list[tuple[tuple[int, ...], int]]] = defaultdict(list)
 
     def take(k: int, n: int) -> list[tuple[int, int]]:
@@ -75,28 +134,23 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
                 of_class[k].pop()
         return runs
 
-    if patterns:
-        a = np.zeros((most, len(patterns)))
-        for j, p in enumerate(patterns):
-            for k in p:
-                a[k - 1, j] += 1
-        for p, n in sorted(zip(patterns, np.floor(nnls(a, counts) + 1e-9).astype(int)), key=lambda x: -x[1]):
-            n = int(min(n, *(sum(left[x] for x in of_class[k]) // p.count(k) for k in p)))
-            if n <= 0:
-                continue
-            columns = [take(k, n) for k in p]
-            at = [0] * len(p)
-            used = [0] * len(p)
-            done = 0
-            while done < n:  # runs of equal lengths side by side
-                m = min(columns[i][at[i]][1] - used[i] for i in range(len(p)))
-                lengths = tuple(columns[i][at[i]][0] for i in range(len(p)))
-                rooms[size - sum(lengths)].append((lengths, m))
-                done += m
-                for i in range(len(p)):
-                    used[i] += m
-                    if used[i] == columns[i][at[i]][1]:
-                        at[i], used[i] = at[i] + 1, 0
+    for p, n in patterns:
+        n = int(min(n, *(sum(left[x] for x in of_class[k]) // p.count(k) for k in p)))
+        if n <= 0:
+            continue
+        columns = [take(k, n) for k in p]
+        at = [0] * len(p)
+        used = [0] * len(p)
+        done = 0
+        while done < n:  # runs of equal lengths side by side
+            m = min(columns[i][at[i]][1] - used[i] for i in range(len(p)))
+            lengths = tuple(columns[i][at[i]][0] for i in range(len(p)))
+            rooms[size - sum(lengths)].append((lengths, m))
+            done += m
+            for i in range(len(p)):
+                used[i] += m
+                if used[i] == columns[i][at[i]][1]:
+                    at[i], used[i] = at[i] + 1, 0
     for length in sorted(left, reverse=True):
         n = left[length]
         while n:

@@ -276,6 +276,19 @@ def test_plan_shares_sequences_of_a_hot_length(histogram, most):
     assert sum(t for _, t in found) <= most
 
 
+def test_plan_fits_patterns_of_more_than_two():
+    assert sum(t for _, t in packing.plan({1032: 6000, 528: 6000, 520: 6000, 496: 12000}, 2048)) == 9000
+    lengths = np.random.default_rng(3).normal(500, 120, 20000).astype(int).clip(1, 2048)
+    histogram = Counter(lengths.tolist())
+    found, used = packing.plan(histogram, 2048), Counter()
+    for pattern, times in found:
+        assert sum(pattern) <= 2048 and times > 0
+        for x in pattern:
+            used[x] += times
+    assert used == histogram
+    assert sum(t for _, t in found) <= 1.01 * math.ceil(lengths.sum() / 2048)
+
+
 def test_packed_sequences(edges, nothing):
     rows = packing.pack(edges, vocabulary("words"), size=64).collect()
     by = defaultdict(list)
