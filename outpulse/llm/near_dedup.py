@@ -20,8 +20,7 @@ SHINGLE = 5
 ALIKE = 0.8
 BANDS, ROWS = 27, 7  # two texts at 0.8 share a band with odds of 0.998; at 0.6 with 0.53, at 0.4 with 0.04
 COORDINATES = BANDS * ROWS
-PLANES = 4  # bits kept of each coordinate, side by side as planes of 189 bits
-APART = 55  # coordinates that may differ in these bits; at 0.8 the mean is 35, and 55 is passed with odds of 0.0001
+WORDS = 12  # 64-bit words of a set's parities
 LEADERS = 4  # nodes of each bucket that its members are first linked to
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Chances of at most 0, 1, 2, ... darts in a region of measure one.
@@ -104,11 +103,18 @@ def bands(sig: np.ndarray) -> np.ndarray:
     return out
 
 
-def bits(sig: np.ndarray) -> np.ndarray:
-    """PLANES bits of each coordinate: three words of 189 bits for each plane."""
-    hashed = mixed(sig)
-    planes = [np.packbits((hashed >> np.uint64(17 + 11 * p)).astype(np.uint8) & 1).tobytes().ljust(24, b"\0") for p in range(PLANES)]
-    return np.frombuffer(b"".join(planes), np.uint64)
+def short(elements: np.ndarray) -> np.ndarray:
+    """The distinct 32-bit hashes that links are decided by."""
+    return np.unique((elements >> np.uint64(32)).astype(np.uint32))
+
+
+def parities(elements: np.ndarray) -> np.ndarray:
+    """Parity of the number of elements in each of 64 * WORDS cells.
+
+    Elements that two sets share cancel, so no more cells differ than elements do.
+    """
+    odd = np.bincount(elements % np.uint32(64 * WORDS), minlength=64 * WORDS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.uint64)
 
 
 _SHINGLER = Shingler()
@@ -120,16 +126,17 @@ def node_of(found: list[str]) -> int:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``node``, ``bands`` and ``bits`` of every whole text; a text without words has no bands."""
+    """``doc_id``, ``node``, ``bands``, ``bits`` (parities and size of the set) of every whole text; a text without words has no bands."""
 
     def work(batch):
         out = {"node": [], "bands": [], "bits": []}
         for text in batch.column("text").to_pylist():
             found = words(text)
-            sig = signature(_SHINGLER.set_of(found))
+            elements = _SHINGLER.set_of(found)
+            held = short(elements)
             out["node"].append(node_of(found))
-            out["bands"].append(bands(sig).view(np.int64) if found else [])
-            out["bits"].append(bits(sig).view(np.int64))
+            out["bands"].append(bands(signature(elements)).view(np.int64) if found else [])
+            out["bits"].append(np.append(parities(held).view(np.int64), len(held)))
         return {"doc_id": batch.column("doc_id")} | out
 
     return by_batch(texts(docs), "doc_id long, node long, bands array<long>, bits array<long>", work)
@@ -145,7 +152,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             found = words(text)
             if node_of(found) == node:  # another row may have the same id
                 out["node"].append(node)
-                out["set"].append(np.unique((_SHINGLER.set_of(found) >> np.uint64(32)).astype(np.uint32)).view(np.int32))
+                out["set"].append(short(_SHINGLER.set_of(found)).view(np.int32))
         return out
 
     return by_batch(chosen, "node long, set array<int>", work).dropDuplicates(["node"])
@@ -174,10 +181,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def close(x: str, y: str) -> Column:
-    """Whether few enough coordinates differ for a likeness of ALIKE."""
-    apart = lambda i: F.get(F.col(x), F.lit(i)).bitwiseXOR(F.get(F.col(y), F.lit(i)))
-    words_apart = [reduce(Column.bitwiseOR, [apart(3 * p + i) for p in range(PLANES)]) for i in range(3)]
-    return reduce(Column.__add__, [F.bit_count(w) for w in words_apart]) <= APART
+    """Whether sets may have a likeness of ALIKE: a bound that no such pair fails.
+
+    Sets at ALIKE differ in at most (1 - ALIKE) / (1 + ALIKE) of the sum of
+    their sizes, and in at least as many elements as parities or sizes differ by.
+    """
+    at = lambda c, i: F.get(F.col(c), F.lit(i))
+    differ = reduce(Column.__add__, [F.bit_count(at(x, i).bitwiseXOR(at(y, i))) for i in range(WORDS)])
+    least = F.greatest(differ.cast("long"), F.abs(at(x, WORDS) - at(y, WORDS)))
+    return (10 + int(10 * ALIKE)) * least <= (10 - int(10 * ALIKE)) * (at(x, WORDS) + at(y, WORDS))
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -193,8 +205,9 @@ def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     Each band's bucket links its members to a few of its nodes (the least, and
     the least by other orders), not to each other.  A member whose component is not that of the bucket's
     least node afterwards is compared with the whole bucket, other components
-    only and in the first bucket that two nodes share, so a link is lost only
-    where two texts at ALIKE share no band.
+    only and in the first bucket that two nodes share.  What is not compared
+    exactly is ruled out by ``close``, which no link fails, so a link is lost
+    only where two texts at ALIKE share no band.
     """
     rows = nodes.where("rep IS NOT NULL").select("node", F.posexplode("bands").alias("i", "band"))
     buckets = rows.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n"), F.array(*[F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(1, LEADERS)]).alias("others")).where("n > 1").drop("n")

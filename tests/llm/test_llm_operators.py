@@ -237,6 +237,22 @@ def test_classes_equal_brute_force(spark):
     assert kept.columns == [c.split()[0] for c in DOCS.split(", ")]
 
 
+def test_no_link_fails_the_bound(spark):
+    """Pairs at or just over the threshold, of few and many elements: what the exact check keeps passes the bound."""
+    rng, rows = np.random.default_rng(8), []
+    for n in (1, 9, 10, 27, 90, 180, 360, 900, 9000):
+        for _ in range(40):
+            both = rng.integers(0, 2**32, 10 * n).astype(np.uint64) << np.uint64(32)
+            apart = 2 * n if rng.random() < 0.7 else 4 * n
+            cut = int(rng.integers(0, apart + 1))
+            s, t = (near_dedup.short(x) for x in (both[apart - cut :], np.concatenate([both[: apart - cut], both[apart:]])))
+            shared = len(np.intersect1d(s, t))
+            rows.append((10 * shared >= 8 * (len(s) + len(t) - shared), *([*near_dedup.parities(x).view(np.int64).tolist(), len(x)] for x in (s, t))))
+    got = spark.createDataFrame(rows, "linked boolean, x array<long>, y array<long>").select("linked", near_dedup.close("x", "y").alias("passed")).collect()
+    assert sum(r.linked for r in got) > 100 and all(r.passed for r in got if r.linked)
+    assert sum(not r.passed for r in got) > 50
+
+
 def test_classes_edges(edges, nothing):
     got = Counter((r.doc_id, r.class_id) for r in near_dedup.classes(edges).collect())
     assert got == Counter({(1, 1): 2, (2, 2): 2, (3, 2): 1, (None, None): 1, (4, 4): 1, (5, 4): 1, (6, 2): 1})
