@@ -29,8 +29,8 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the least id."""
-    return near_dedup.deduplicated(docs)
+    """One document of each group of near copies, that of the least id; ids may be missing or shared."""
+    return near_dedup.representatives(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

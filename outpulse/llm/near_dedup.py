@@ -246,18 +246,55 @@ def classes(docs: DataFrame) -> DataFrame:
     the class of equal words, and has no near links of its own; repeated rows
     each count; an empty table gives no row; other columns are ignored.
     """
+    all_rows, of_node = classified(docs)
+    return all_rows.join(of_node.select("node", "class_id", "class_size"), "node").select("doc_id", "class_id", "class_size")
+
+
+def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id`` and ``node`` of every row; and per node its least id ``rep``, ``comp``, ``class_id``, ``class_size``."""
     all_rows = saved(signed(docs))
     nodes = saved(all_rows.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("bits").alias("bits"), F.count("*").alias("n")))
     comps = node_classes(docs, nodes)
     of_node = nodes.select("node", "rep", "n").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     totals = of_node.groupBy("comp").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"))
-    found = of_node.join(totals, "comp").select("node", "class_id", "class_size")
-    return all_rows.select("doc_id", "node").join(found, "node").select("doc_id", "class_id", "class_size")
+    return all_rows.select("doc_id", "node"), of_node.join(totals, "comp").select("node", "rep", "comp", "class_id", "class_size")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` of every class: of its least id, the least node and the least text.
+
+    Classes of texts without id keep a row each, and different texts that share
+    an id are decided by their own classes.
+    """
+    all_rows, of_node = classified(docs)
+    best = of_node.where(F.col("rep").eqNullSafe(F.col("class_id"))).groupBy("comp").agg(F.min_by(F.struct("rep", "node"), "node").alias("k")).select("k.*")
+    times = all_rows.groupBy("doc_id").agg(F.count("*").alias("n"))
+    kept = saved(best.join(times, F.col("rep").eqNullSafe(F.col("doc_id"))).select("rep", "node", "n"))
+    doc_id = F.col("doc_id").cast("long")
+    once = docs.join(kept.where("n = 1").select(F.col("rep").alias("_kept")), doc_id.eqNullSafe(F.col("_kept")), "left_semi")
+    several = kept.where("n > 1").select("rep", "node")
+    if not several.limit(1).count():
+        return once
+
+    def work(batch):
+        return {"node": [node_of(words(t)) for t in batch.column("text").to_pylist()], "text": batch.column("text")}
+
+    # texts of these ids with their nodes, then the least text of each wanted pair
+    ids = several.select("rep").distinct()
+    found = texts(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi").select("doc_id", "text").distinct()
+    found = by_batch(found, "doc_id long, node long, text string", lambda b: {"doc_id": b.column("doc_id")} | work(b))
+    found = found.join(several.withColumnRenamed("node", "_node"), F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("node") == F.col("_node")), "left_semi")
+    least = found.groupBy("doc_id", "node").agg(F.min("text").alias("_text")).select(F.col("doc_id").alias("_id"), "_text")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    again = docs.join(least, doc_id.eqNullSafe(F.col("_id")) & (text == F.col("_text")), "left_semi")
+    rows = again.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), doc_id.alias("_id"), text.alias("_text"))
+    one = rows.groupBy("_id", "_text").agg(F.first("_row").alias("_row"))
+    return once.union(one.select("_row.*"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the least id of their class; of rows that repeat an id one stays, and of rows without id none that has a copy with one."""
-    found = classes(docs)
-    kept = saved(found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.count("*").alias("n")))
-    mine = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    return mine.dropDuplicates(["doc_id"]) if kept.where("n > 1").limit(1).count() else mine
+    """``representatives``, of which those that share a given id leave one row, that of the least text."""
+    rows = representatives(docs)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    given = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min_by(whole, F.struct("text")).alias("_row"))
+    return rows.where("doc_id IS NULL").union(given.select("_row.*"))

@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -260,6 +261,38 @@ def test_classes_edges(edges, nothing):
     assert near_dedup.classes(nothing).count() == 0 and near_dedup.deduplicated(nothing).count() == 0
 
 
+def test_one_row_of_every_class_without_own_ids(spark):
+    one, two, three = "a text without id that stays", "another clean text that has none", "copies of a document with an id"
+    rows = [(None, one), (None, one), (None, two), (None, three), (7, three), (9, three), (5, "first text of five"), (5, "second one of the same id"), (5, "First text of five"), (None, None), (3, "")]
+    got = Counter((r.doc_id, r.text) for r in near_dedup.representatives(frame(spark, rows)).collect())
+    assert got == Counter({(None, one): 1, (None, two): 1, (7, three): 1, (5, "First text of five"): 1, (5, "second one of the same id"): 1, (3, ""): 1})
+    once = [(1, one), (None, two), (2, two)]
+    assert sorted(r.doc_id for r in near_dedup.representatives(frame(spark, once)).collect()) == [1, 2]
+
+
+def test_pipeline_equals_its_steps(spark, tmp_path):
+    """The whole pipeline against accepted rows, classes by brute force and the library's ids."""
+    rnd = random.Random(9)
+    plain = ["".join(rnd.choice("aeioustrn") for _ in range(5)) for _ in range(300)]
+    rows = [(i, " ".join(rnd.choice(plain) for _ in range(rnd.randint(20, 60)))) for i in range(60)]
+    rows += [(i + 100, t) for i, t in rows[:20]] + [(None, t) for _, t in rows[30:40]] + [(None, "no id of one"), (None, "no id of two"), (3, "a second text of three")]
+    docs = frame(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 0, 1) for i in range(60)], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    left = corpus_pipeline.of_quality(spark, corpus_pipeline.without_toxic(spark, docs, str(tmp_path)), str(tmp_path)).collect()
+    assert len(left) > 60 and sum(r.doc_id is None for r in left) > 1
+    by_words = defaultdict(list)  # random texts have no near links but equal words
+    for r in left:
+        by_words[tuple(words(r.text))].append(r)
+    lib, want = tokens_file.library(vocabulary("words"), False), Counter()
+    for same in by_words.values():
+        r = min(same, key=lambda r: (r.doc_id is None, r.doc_id or 0))
+        ids = lib.encode([r.text])[0] + tokens_file.END
+        want[r.doc_id, len(ids) // 4, zlib.crc32(ids)] += 1
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.length, r.ids_crc32) for r in got) == want
+
+
 # packing
 
 
