@@ -82,32 +82,60 @@ def rejected_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQ
     )
 
 
+def _written(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _put(rows: DataFrame, path: str, batch_id: int) -> None:
+    """One folder per batch, so that a batch run again replaces its own rows."""
+    rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+
 def daily_totals_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Sends per sender and day over a tumbling window, kept up to date.
+    """Sends per sender and day, kept up to date.
 
-    Each batch first sums inside its map tasks; a day is written once it is
-    older than the horizon, later rows for it are dropped by the watermark.
+    Each batch leaves its sums beside the checkpoint; after the last one the days
+    older than the horizon are written anew from all sums, so a late row counts
+    in its day whenever it comes.  Rows of younger days wait among the sums.
     """
-    typed = ingest.parsed_reports(stream).where(F.col("sent_at").isNotNull()).withColumn("event_time", F.col("sent_at").cast("timestamp"))
-    daily = (
-        typed.withWatermark("event_time", HORIZON)
-        .groupBy(F.window("event_time", "1 day").alias("w"), "sender")
-        .agg(F.count(F.lit(1)).alias("messages"), F.sum("sent").alias("sent"), F.sum("purchased").alias("purchased"), F.sum("revenue").alias("revenue"))
-        .select(F.to_date("w.start").alias("day"), "sender", "messages", "sent", ratio("purchased", "sent").alias("purchase_rate"), "revenue")
-    )
-    return _wait(
-        daily.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    spark, sums = stream.sparkSession, f"{checkpoint}/sums"
+    parts = ("messages", "sent", "purchased", "revenue")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        typed = ingest.parsed_reports(batch).where(F.col("sent_at").isNotNull())
+        _put(
+            typed.groupBy(F.to_date("sent_at").alias("day"), "sender")
+            .agg(F.count(F.lit(1)).alias("messages"), F.sum("sent").alias("sent"), F.sum("purchased").alias("purchased"), F.sum("revenue").alias("revenue"), F.max("sent_at").alias("latest")),
+            sums, batch_id,
+        )
+
+    query = _wait(stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    if _written(spark, sums):
+        held = spark.read.parquet(sums)
+        closed = held.agg((F.max("latest") - F.expr(f"INTERVAL {HORIZON}")).alias("until"))
+        totals = held.groupBy("day", "sender").agg(*[F.sum(c).cast(held.schema[c].dataType).alias(c) for c in parts])
+        totals = totals.join(F.broadcast(closed), F.date_add("day", 1).cast("timestamp_ntz") <= F.col("until").cast("timestamp_ntz"))
+        totals.select("day", "sender", "messages", "sent", ratio("purchased", "sent").alias("purchase_rate"), "revenue").write.mode("overwrite").parquet(path)
+    return query
 
 
 def first_seen_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the first copy of each message id inside the horizon."""
-    unique = stream.withColumn("event_time", F.col("ingested_at").cast("timestamp")).withWatermark("event_time", HORIZON).dropDuplicatesWithinWatermark(["message_id"])
-    return _wait(
-        unique.drop("event_time").writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    """Keep the first copy of each message id, however late it or a copy comes.
+
+    A batch is compared with the ids of earlier batches in ``path``, where each
+    has its folder.
+    """
+    spark = stream.sparkSession
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.dropDuplicates(["message_id"])
+        if _written(spark, path):
+            seen = spark.read.schema("message_id string, batch_id bigint").parquet(path).where(F.col("batch_id") < batch_id).select(F.col("message_id").alias("_seen"))
+            rows = rows.join(seen, F.col("message_id").eqNullSafe(F.col("_seen")), "left_anti")
+        _put(stabilise(rows), path, batch_id)
+
+    return _wait(stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def refresh_if_stale(latest: DataFrame, ts: str, as_of: str, hours: int, job) -> bool:

@@ -62,6 +62,25 @@ def test_daily_totals_and_first_seen(spark, landing, tmp_path):
     assert ids.count() == ids.select("message_id").distinct().count() == landing.count()
 
 
+def test_late_rows_count_in_their_day(spark, landing, tmp_path):
+    """Newest files first, one per batch: closed days and waiting rows are all rows, and a second run merges what came later."""
+    days = [r[0] for r in landing.select("ingestion_date").distinct().orderBy(F.desc("ingestion_date")).collect()]
+    cuts = [days[0], days[len(days) // 4], days[len(days) // 2], days[-1]]
+    folder, out, ck, once = (str(tmp_path / n) for n in ("in", "daily", "ck", "once"))
+    rows = ingest.parsed_reports(landing)
+    until = rows.agg(F.max("sent_at") - F.expr("INTERVAL 7 DAYS")).first()[0]
+    want = rows.where(F.date_add(F.to_date("sent_at"), 1).cast("timestamp_ntz") <= F.lit(until)).groupBy(F.to_date("sent_at").alias("day"), "sender").agg(F.count(F.lit(1)).alias("messages"))
+    for newest, oldest in zip(cuts, cuts[1:]):
+        inside = landing.where((F.col("ingestion_date") <= newest) & ((F.col("ingestion_date") > oldest) | (F.lit(oldest == days[-1]) & (F.col("ingestion_date") == oldest))))
+        inside.coalesce(1).write.mode("append").json(folder)
+        jobs.daily_totals_stream(jobs.report_stream(spark, folder, 1), out, ck)
+        jobs.first_seen_stream(jobs.report_stream(spark, folder, 1), once, f"{ck}2")
+    assert read_set(spark.read.parquet(out).select("day", "sender", "messages")) == read_set(want)
+    assert spark.read.parquet(f"{ck}/sums").agg(F.sum("messages")).first()[0] == rows.where("sent_at IS NOT NULL").count()
+    ids = spark.read.parquet(once)
+    assert ids.count() == ids.select("message_id").distinct().count() == landing.count()
+
+
 def test_refresh_if_stale(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "t timestamp_ntz")
     ran = []
