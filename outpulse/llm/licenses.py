@@ -46,6 +46,31 @@ def seeds(phrase: str, errors: int) -> list[tuple[int, str]]:
     return [(a, phrase[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+#: Licences whose notices are a few characters from each other; others are families of their own.
+FAMILIES = {"gpl-2": "gpl", "gpl-3": "gpl", "lgpl": "gpl", "cc-by-nc": "cc", "cc-by-sa": "cc"}
+VERSION = regex.compile(r"version ([\d ]+)$")
+#: Version numbers and errors of the notices that end in a version, by label.
+VERSIONS = {label: (m[1].split(), errors) for phrase, label, errors in NOTICES if (m := VERSION.search(phrase))}
+
+
+def of_version(span: Span, joined: str) -> bool:
+    """Whether the numbers at the end of the span are those of its notice; later ones may be missing."""
+    if span.label not in VERSIONS:
+        return True
+    numbers, errors = VERSIONS[span.label]
+    around = len(" ".join(numbers)) + errors + 1
+    end = joined.find(" ", min(len(joined) - 1, span.end + around))
+    found = regex.findall(r"\d+", joined[max(span.start, span.end - around) : end if end >= 0 else len(joined)])[: len(numbers)]
+    return bool(found) and found == numbers[: len(found)]
+
+
+def resolved(spans: list[Span], joined: str) -> list[Span]:
+    """Spans of the right version, and of overlapping ones in a family those of fewest errors."""
+    kept = [x for x in spans if of_version(x, joined)]
+    family = lambda x: FAMILIES.get(x.label, x.label)
+    return [x for x in kept if not any(family(y) == family(x) and y.errors < x.errors and y.start < x.end and x.start < y.end for y in kept)]
+
+
 class Scanner:
     def __init__(self, notices=NOTICES, base=BASE):
         self.base = [(f" {phrase} ", label) for phrase, label in base]
@@ -122,7 +147,7 @@ def scan(docs: DataFrame) -> DataFrame:
         for text in batch.column("text").to_pylist():
             found = words(text)
             joined = f" {' '.join(found)} "
-            base, spans = s.exact(joined), s.fuzzy(joined)
+            base, spans = s.exact(joined), resolved(s.fuzzy(joined), joined)
             best = max([1.0] if base else [1 - x.errors / (s.errors[x.label] + 1) for x in spans], default=0.0)
             row = (
                 len(found), len(base), base[0][0] if base else None, base[-1][0] if base else None,

@@ -179,6 +179,18 @@ def test_license_labels():
         assert got == {label for p, label, e in licenses.NOTICES if within(joined, p, e)}, joined
 
 
+@pytest.mark.parametrize(("text", "labels"), [
+    ("the GNU General Public License, version 3 or later", {"gpl-3"}), ("GNU General Public License version 2", {"gpl-2"}),
+    ("gnu generel public license version 2 or gnu general public license version 3.0", {"gpl-2", "gpl-3"}),
+    ("gnu general public license version 2 3 clause", {"gpl-2"}), ("gnu general public license version3", {"gpl-3"}), ("gnu general public license version 1", set()),
+    ("Mozilla Public License Version 1.1", set()), ("Mozilla Public License, v. 2.0. Mozila Public License Version 2.0", {"mpl-2"}),
+    ("mozilla public license version 2", {"mpl-2"}), ("licensed under the apache license version 1 1", set()), ("Licensed under the Apache License, Version 2.0 (the", {"apache-2"}),
+])
+def test_license_versions(spark, text, labels):
+    joined = f" {' '.join(words(text))} "
+    assert {x.label for x in licenses.resolved(licenses.scanner().fuzzy(joined), joined)} == labels
+
+
 def test_license_base(spark, edges, nothing):
     text = "Under the MIT License. under the mit license\nCC-BY-NC Cc by nc Apache License, Version 2.0 É under the mit licenses"
     r = licenses.scan(frame(spark, [(1, text)])).first()
