@@ -117,3 +117,20 @@ def with_percent_ranks(
             ).otherwise(F.lit(0.0)),
         ).drop(f"{name}_rank", f"{name}_n")
     return ranked
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Adds the row's number, from 1, in ``order``, which must end in a unique column.
+
+    One range sort of the rows, written once so that every number stays where it
+    is; the sizes of the sorted parts, one row each, give the offsets.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = stabilise(placed.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # one row per part
+    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    numbers = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return numbers.withColumn(name, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_at", "_part", "_before")
