@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -45,6 +46,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to a new folder of the shared one: typed, compressed and pruned when read."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def by_batch(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], dict[str, list]]) -> DataFrame:
     """Each Arrow batch of ``df`` through ``work``, which returns columns named as in ``schema``."""
     return by_task(df, schema, lambda batches: (work(b) for b in batches))
