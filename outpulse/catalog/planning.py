@@ -536,7 +536,7 @@ def export(spark, d):
 SHARED_SQL["c_scheduled"] = """
 SELECT 'sch' || event_no AS schedule_id, account, sender AS assignee, sent_at - to_hours(CAST(event_no % 36 AS BIGINT)) AS logged_at, price,
   CASE WHEN event_no % 9 = 0 THEN template END AS tracking, CASE WHEN event_no % 3 = 0 THEN template END AS template
-FROM (SELECT *, CAST(substr(message_id, 2) AS BIGINT) AS event_no FROM c_facts) WHERE event_no % 2 = 0 OR event_no % 3 = 0"""
+FROM (SELECT *, CAST(substr(message_id, 2) AS BIGINT) AS event_no FROM c_facts)"""
 _S = f"(SELECT account, template, price, message_id, sent_at, earnings FROM c_facts WHERE sent_at >= {NOW} - INTERVAL 180 DAY AND sent_at < {NOW})"
 
 
@@ -551,7 +551,7 @@ _S = f"(SELECT account, template, price, message_id, sent_at, earnings FROM c_fa
       QUALIFY row_number() OVER (PARTITION BY schedule_id ORDER BY sc DESC, abs(epoch_us(sent_at) - epoch_us(logged_at)), sent_at, message_id) = 1""",
 )
 def _(spark, d):
-    f = sem.facts(spark, d).withColumn("n", F.substring("message_id", 2, 20).cast("long")).where("n % 2 = 0 OR n % 3 = 0")
+    f = sem.facts(spark, d).withColumn("n", F.substring("message_id", 2, 20).cast("long"))
     scheduled = f.select(
         F.concat(F.lit("sch"), "n").alias("schedule_id"), "account", F.col("sender").alias("assignee"),
         (F.col("sent_at") - F.make_dt_interval(hours=(F.col("n") % 36).cast("int"))).alias("logged_at"), "price",

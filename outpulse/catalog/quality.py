@@ -460,8 +460,7 @@ def _(spark, d):
 
 
 SHARED_SQL["c_feedback"] = """
-WITH o AS (SELECT message_id AS override_id, account, sender AS assignee, template AS new_template, 'tpl_' || ((CAST(substr(template, 5) AS BIGINT) + 1) % (SELECT count(*) FROM documents)) AS old_template, sent_date AS day
-    FROM c_facts WHERE CAST(substr(message_id, 2) AS BIGINT) % 4 = 0),
+WITH o AS (SELECT message_id AS override_id, account, sender AS assignee, template AS new_template, 'tpl_' || ((CAST(substr(template, 5) AS BIGINT) + 1) % (SELECT count(*) FROM documents)) AS old_template, sent_date AS day FROM c_facts),
 a AS (SELECT account, template, sent_date, CAST(sum(earnings) AS DOUBLE) AS revenue FROM c_facts GROUP BY 1, 2, 3),
 p AS (SELECT account, template, avg(earnings::DOUBLE) AS projected FROM c_facts GROUP BY 1, 2)
 SELECT o.override_id, o.assignee, o.account, revenue, projected, revenue - projected AS delta, CASE WHEN revenue > projected * 1.1 THEN 'SUCCESS' WHEN revenue < projected * 0.9 THEN 'FAILURE' ELSE 'NEUTRAL' END AS result
@@ -470,7 +469,7 @@ FROM o JOIN a ON a.account = o.account AND a.template = o.new_template AND a.sen
 
 def feedback(spark, d):
     f = sem.facts(spark, d)
-    o = f.where(F.substring("message_id", 2, 20).cast("long") % 4 == 0).select(
+    o = f.select(
         F.col("message_id").alias("override_id"), "account", F.col("sender").alias("assignee"), F.col("template").alias("new_template"),
         F.concat(F.lit("tpl_"), ((F.substring("template", 5, 18).cast("long") + 1) % src.table(spark, d, "documents").agg(F.count(F.lit(1))).scalar()).cast("string")).alias("old_template"), F.col("sent_date").alias("day"))
     p = f.groupBy("account", "template").agg(F.avg(F.col("earnings").cast("double")).alias("projected"))
