@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from outpulse.operators.ranking import first_per_key
 from outpulse.session import stabilise
+from outpulse.sources.versions import VersionedTable
 
 
 def newest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -70,3 +71,27 @@ def upsert_partitions(
         .partitionBy(partition)
         .parquet(path)
     )
+
+
+def upsert_versions(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: list[str],
+    partition: str,
+    freshness: str,
+    tie: str,
+    marks: dict[str, str] | None = None,
+) -> None:
+    """``upsert_partitions`` for a versioned table: readers see all of the batch or nothing of it.
+
+    The batch is computed once, only the folders of its partitions are read, and
+    one rename publishes them.  ``marks`` note in the same commit what is done.
+    """
+
+    def merge(old: DataFrame | None, rows: DataFrame) -> DataFrame:
+        if old is None:
+            return first_per_key(rows, keys, [F.col(freshness).desc(), F.col(tie).desc()])
+        return merged(old.select(*rows.columns), rows, keys, freshness, tie)
+
+    VersionedTable(spark, path, partition).change(batch, merge, marks)

@@ -150,10 +150,9 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
 
 
 def append_week(df: DataFrame, path: str, as_of: str) -> None:
-    """Append a snapshot stamped with the Monday of the week."""
-    df.withColumn("week_start", F.to_date(F.date_trunc("week", F.lit(as_of)))).write.mode(
-        "append"
-    ).partitionBy("week_start").parquet(path)
+    """Add a snapshot stamped with the Monday of the week; a second run of the week replaces it."""
+    stamped = df.withColumn("week_start", F.to_date(F.date_trunc("week", F.lit(as_of))))
+    replace_partitions(stamped, path, "week_start")
 
 
 def export_by_category(df: DataFrame, path: str, category: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from outpulse.plans import content, ingest, semantic
 from outpulse.sources import driver_tables as src
 from outpulse.sources import reports
+from outpulse.sources.versions import Conflict, VersionedTable
 from outpulse.streaming import jobs
 
 from conftest import SF
@@ -43,7 +44,7 @@ def test_upsert_stream_equals_batch(spark, landing, tmp_path, per_batch):
     jobs.upsert_stream(jobs.report_stream(spark, str(tmp_path / "in"), per_batch), out, str(tmp_path / "ck"), str(tmp_path / "bad"), "2024-01-03", "2024-12-31")
     want = ingest.normalised_reports(landing, "1900-01-01", "9999-12-31").where("sent_date >= '2024-01-03'")
     cols = ["send_key", "message_id", "price", "sent", "sent_date"]
-    assert read_set(spark.read.parquet(out).select(*cols)) == read_set(want.select(*cols))
+    assert read_set(VersionedTable(spark, out, "sent_date").read().select(*cols)) == read_set(want.select(*cols))
     assert spark.read.parquet(str(tmp_path / "bad")).where("reason = 'send date out of range'").count() > 0
 
 
@@ -51,7 +52,7 @@ def test_daily_totals_and_first_seen(spark, landing, tmp_path):
     split_json(landing, tmp_path / "in", 1)
     out = str(tmp_path / "daily")
     jobs.daily_totals_stream(jobs.report_stream(spark, str(tmp_path / "in")), out, str(tmp_path / "ck"))
-    got = spark.read.parquet(out)
+    got = jobs.daily_totals(spark, out)
     want = ingest.parsed_reports(landing).groupBy(F.to_date("sent_at").alias("day"), "sender").agg(F.count(F.lit(1)).alias("messages"))
     closed = got.select("day", "sender", "messages")
     assert closed.count() > 0 and closed.exceptAll(want).count() == 0  # days older than the horizon are final
@@ -75,12 +76,106 @@ def test_late_rows_count_in_their_day(spark, landing, tmp_path):
         inside.coalesce(1).write.mode("append").json(folder)
         jobs.daily_totals_stream(jobs.report_stream(spark, folder, 1), out, ck)
         jobs.first_seen_stream(jobs.report_stream(spark, folder, 1), once, f"{ck}2")
-    assert read_set(spark.read.parquet(out).select("day", "sender", "messages")) == read_set(want)
-    assert spark.read.parquet(f"{ck}/sums").agg(F.sum("messages")).first()[0] == rows.where("sent_at IS NOT NULL").count()
+    assert read_set(jobs.daily_totals(spark, out).select("day", "sender", "messages")) == read_set(want)
+    everything = jobs.daily_totals(spark, out, still_open=True)
+    assert everything.agg(F.sum("messages")).first()[0] == rows.where("sent_at IS NOT NULL").count()
+    assert everything.agg(F.sum("late_messages")).first()[0] > 0
     ids = spark.read.parquet(once)
     assert ids.count() == ids.select("message_id").distinct().count() == landing.count()
 
 
+def test_daily_totals_touch_only_their_days(spark, landing, tmp_path):
+    """Two triggers with late and unreadable rows between them; what a trigger does not hold stays in its folder."""
+    folder, out, ck = (str(tmp_path / n) for n in ("in", "daily", "ck"))
+    first = landing.where("ingestion_date BETWEEN '2024-01-10' AND '2024-01-25'")
+    first.coalesce(1).write.mode("append").json(folder)
+    jobs.daily_totals_stream(jobs.report_stream(spark, folder), out, ck)
+    table, aside = jobs.daily_tables(spark, out)
+    before = table.manifest()
+    late = landing.where("ingestion_date BETWEEN '2024-01-03' AND '2024-01-04'")
+    soon = landing.where("ingestion_date = '2024-01-26'").withColumn("sending_time", F.when(F.col("sender") == "S2", "soon").otherwise(F.col("sending_time")))
+    late.unionByName(soon).coalesce(1).write.mode("append").json(folder)
+    jobs.daily_totals_stream(jobs.report_stream(spark, folder), out, ck)
+    after = table.manifest()
+    touched = {d for d in after.parts if after.parts[d] != before.parts.get(d)}
+    held = ingest.parsed_reports(late.unionByName(soon)).where("sent_at IS NOT NULL").select(F.to_date("sent_at").cast("string")).distinct()
+    assert touched == {r[0] for r in held.collect()} and len(touched) < len(after.parts)
+    kept = jobs.daily_totals(spark, out, still_open=True).agg(F.sum("messages"), F.sum("late_messages")).first()
+    assert kept[0] + aside.read().count() == first.count() + late.count() + soon.count()
+    assert kept[1] == late.count() and aside.read().count() == soon.where("sending_time = 'soon'").count() > 0
+    assert read_set(table.read(at=before)) != read_set(table.read())  # the old version is still whole
+
+
+def test_batch_that_runs_again_adds_nothing(spark, landing, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "ingestion_date")
+    assert jobs._once(table, "ck", 0) == {"stream:ck": "0"}
+    table.replace(landing.limit(3), marks=jobs._once(table, "ck", 0))
+    assert jobs._once(table, "ck", 0) is None and jobs._once(table, "ck", 1) == {"stream:ck": "1"}
+
+
+def test_killed_write_leaves_the_old_version(spark, landing, tmp_path, monkeypatch):
+    """A write that stops before or after its files, or at the rename, is not seen; the next one goes through."""
+    table = VersionedTable(spark, str(tmp_path / "t"), "ingestion_date")
+    rows = landing.where("ingestion_date <= '2024-01-04'").select("message_id", "sender", "ingestion_date")
+    table.overwrite(rows)
+    old, change = read_set(table.read()), rows.where("ingestion_date = '2024-01-03'").withColumn("sender", F.lit("new"))
+
+    class Killed(Exception):
+        pass
+
+    def stop(*_):
+        raise Killed
+
+    for step in ("stage", "publish"):
+        with monkeypatch.context() as m:
+            m.setattr(VersionedTable, step, stop)
+            with pytest.raises(Killed):
+                table.replace(change)
+        assert read_set(table.read()) == old
+    with pytest.raises(Exception):  # half of the files are there when a task fails
+        table.replace(change.withColumn("sender", F.when(F.col("message_id") < "m5", "new").otherwise(F.raise_error(F.lit("lost")).cast("string"))))
+    assert read_set(table.read()) == old
+    stale = table.manifest()
+    table.replace(change)
+    assert table.read(["2024-01-03"]).select("sender").distinct().first()[0] == "new" and table.read().count() == rows.count()
+    with pytest.raises(Conflict):
+        table.replace(change, at=stale)
+    with pytest.raises(Exception, match="is null"):
+        table.replace(change.withColumn("ingestion_date", F.lit(None).cast("date")))
+    found = table.read().count()
+    assert table.expire() >= 1 and table.read().count() == found
+
+
+def test_two_writers_both_count(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "d")
+    row = lambda n: spark.createDataFrame([("a", n)], "d string, n int")
+    other = []
+
+    def merge(old, new):
+        if not other:  # another writer commits while this one merges
+            other.append(table.change(row(100), lambda o, r: r if o is None else o.unionByName(r)))
+        return new if old is None else old.unionByName(new)
+
+    table.change(row(1), merge)
+    assert sorted(r.n for r in table.read().collect()) == [1, 100]
+
+
+def test_first_seen_cost_follows_the_batch(spark, tmp_path):
+    """Later batches put only their new ids into the state, and the session keeps its own settings."""
+    folder, out, ck = (str(tmp_path / n) for n in ("in", "once", "ck"))
+    known = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    schema = jobs.LANDING_SCHEMA
+    rows = lambda a, b: spark.range(a, b).select(*[(F.concat(F.lit("m"), "id") if f.name == "message_id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+    hot = rows(0, 1).crossJoin(spark.range(3000).select())
+    added = []
+    for part in (rows(0, 5000).unionByName(hot), rows(4990, 5010).unionByName(hot), hot):
+        part.write.mode("append").json(folder)
+        query = jobs.first_seen_stream(jobs.report_stream(spark, folder), out, ck)
+        added.append(sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["stateOperators"]))
+    assert added == [5000, 10, 0]
+    assert spark.read.parquet(out).count() == 5010 and spark.conf.get("spark.sql.streaming.stateStore.providerClass") == known
+
+
 def test_refresh_if_stale(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "t timestamp_ntz")
     ran = []
