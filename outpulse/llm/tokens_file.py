@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outpulse.llm.common import by_batch, by_task, chunk_bounds, partitions, shared_dir, texts, with_chunk
-from outpulse.llm.units import IdCache, bare_units, spaced_units
+from outpulse.llm.units import LETTERS, IdCache, bare_units, spaced_units
 
 CHUNK_BITS = 8  # of an id held by each level
 RANK_BLOCK = 512  # bits of a continuation bitmap per entry of its rank directory
@@ -22,8 +25,18 @@ MAGIC = b"DAC1"
 END = (0).to_bytes(4, "little")
 
 
+ONE_MATCH = re.compile(rf" ?{LETTERS}\Z")  # the byte-level pattern takes such a unit as one piece
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level vocabularies show as themselves
+#: The character of each byte in them; the others follow each other from 256 on.
+SHOWN = "".join(chr(b) if b in PRINTABLE else chr(256 + [x for x in range(256) if x not in PRINTABLE].index(b)) for b in range(256))
+
+
 class Library:
-    """A tokenizers file behind a bounded cache of the units it encodes."""
+    """A tokenizers file behind a bounded cache of the units it encodes.
+
+    Where the file splits text by the byte-level pattern and does not change it
+    before, a unit that is one piece goes straight to the library's merges.
+    """
 
     def __init__(self, path: str, keeps_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,15 +46,38 @@ class Library:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.split = spaced_units if keeps_space else bare_units
         self.cache = IdCache(self._units)
+        steps = json.loads(self.tokenizer.to_str())
+        cut = steps["pre_tokenizer"] or {}
+        plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and not steps["normalizer"] and not steps["post_processor"]
+        self.model = self.tokenizer.model if plain else None
 
     def _units(self, units: list[str]):
+        if self.model is None:
+            yield from self._texts(units)
+            return
+        merged = self.model.tokenize
+        others = iter(self._texts([u for u in units if not ONE_MATCH.match(u)]))
+        for u in units:
+            if ONE_MATCH.match(u):
+                ids = [t.id for t in merged(u.encode().decode("latin-1").translate(SHOWN))]
+                yield struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                yield next(others)
+
+    def _texts(self, units: list[str]):
         for i in range(0, len(units), 5000):
             for e in self.tokenizer.encode_batch_fast(units[i : i + 5000], add_special_tokens=False):
                 yield struct.pack(f"<{len(e)}I", *e.ids)
 
     def encode(self, many: list[str]) -> list[bytes]:
         """Each text's ids, little-endian unsigned 32-bit, as the library gives them for the whole text."""
-        return self.cache.ids([self.split(t) for t in many])
+        collects = gc.isenabled()
+        gc.disable()  # millions of strings without a cycle among them
+        try:
+            return self.cache.ids([self.split(t) for t in many])
+        finally:
+            if collects:
+                gc.enable()
 
 
 @lru_cache(maxsize=2)
@@ -117,7 +153,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, keeps_space: bool = True)
     spark = docs.sparkSession
     parts = partitions(spark)
     bounds = chunk_bounds(rows, "doc_id", parts)
-    sorted_rows = with_chunk(rows, "doc_id", bounds).repartition(len(bounds) + 1, "chunk").sortWithinPartitions("chunk", F.col("doc_id").asc_nulls_first(), "text")
+    sorted_rows = with_chunk(rows, "doc_id", bounds).repartitionById(len(bounds) + 1, F.col("chunk")).sortWithinPartitions("chunk", F.col("doc_id").asc_nulls_first(), "text")
 
     def work(batches):
         segment, chunk, ids, counts, payload, size = 0, None, [], [], [], 0
