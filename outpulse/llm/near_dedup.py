@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outpulse.llm.common import by_batch, saved, texts, words
+from outpulse.llm.common import by_batch, by_task, saved, texts, words
 from outpulse.llm.fingerprint import mixed
 
 SHINGLE = 5
@@ -21,6 +21,7 @@ ALIKE = 0.8
 BANDS, ROWS = 27, 7  # two texts at 0.8 share a band with odds of 0.998; at 0.6 with 0.53, at 0.4 with 0.04
 COORDINATES = BANDS * ROWS
 WORDS = 12  # 64-bit words of a set's parities
+BLOCK, BLOCK_SHINGLES = 256, 1 << 18  # nodes, and shingles of their sets, that travel together
 LEADERS = 4  # nodes of each bucket that its members are first linked to
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Chances of at most 0, 1, 2, ... darts in a region of measure one.
@@ -192,11 +193,78 @@ def close(x: str, y: str) -> Column:
     return (10 + int(10 * ALIKE)) * least <= (10 - int(10 * ALIKE)) * (at(x, WORDS) + at(y, WORDS))
 
 
+def blocks_of(held: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node`` and ``block``: nodes that share buckets, at most some BLOCK of them and BLOCK_SHINGLES shingles.
+
+    Nodes take the least label of their buckets a few times, so that a family of
+    texts has few labels; a label with many nodes is cut by a hash of the node,
+    labels with few nodes share blocks.  Blocks only decide what travels
+    together, never what is compared.
+    """
+    labels = held.groupBy("node").agg(F.min("first").alias("label"))
+    for _ in range(2):
+        least = held.select("node", "band").join(labels, "node").groupBy("band").agg(F.min("label").alias("label"))
+        labels = held.select("node", "band").join(least, "band").groupBy("node").agg(F.min("label").alias("label"))
+    labels = saved(labels.join(nodes.select("node", F.get("bits", F.lit(WORDS)).alias("size")), "node"))
+    pool = max(1, labels.count() // BLOCK)
+    parts = labels.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).alias("parts"))
+    cut = F.xxhash64("label", F.pmod(F.xxhash64("node"), F.col("parts")))
+    return labels.join(parts, "label").select("node", F.when(F.col("parts") > 1, cut).otherwise(F.pmod(F.xxhash64("label"), F.lit(pool))).alias("block"))
+
+
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are alike by exact Jaccard."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("t")), "b")
-    shared = F.size(F.array_intersect("s", "t"))
-    return both.where(10 * shared >= int(10 * ALIKE) * (F.size("s") + F.size("t") - shared)).select("a", "b")
+    """The pairs (a, b) whose sets are alike by exact Jaccard; ``a_block`` and ``b_block`` say in which blocks they are.
+
+    All pairs between two blocks are met in one place, to which every set they
+    need is sent once: what travels follows nodes times blocks and not pairs.
+    """
+    pairs = pairs.select("a", "b", F.xxhash64(F.least("a_block", "b_block"), F.greatest("a_block", "b_block")).alias("place"))
+    needed = pairs.select("place", F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = needed.select("place", F.lit(0).alias("kind"), F.col("node").alias("a"), none("long").alias("b"), "set")
+    rows = rows.unionByName(pairs.select("place", F.lit(1).alias("kind"), "a", "b", none("array<int>").alias("set")))
+
+    def alike(held: dict, wanted: list):
+        """Numbers of shared shingles of one set with many at a time, by marks on the shingles of the place."""
+        at = {node: i for i, node in enumerate(held)}
+        size = np.array([len(x) for x in held.values()])
+        ends = np.cumsum(size)
+        codes = np.unique(np.concatenate(list(held.values())), return_inverse=True)[1] if held else np.zeros(0, np.int64)
+        mark = np.zeros(codes.max(initial=-1) + 1, bool)
+        by_first = {}
+        for a, b in wanted:
+            if a in at and b in at:  # a set may be missing where an id has several texts
+                by_first.setdefault(at[a], []).append(at[b])
+        names = list(held)
+        for a, others in by_first.items():
+            own = codes[ends[a] - size[a] : ends[a]]
+            mark[own] = True
+            shared = np.array([np.count_nonzero(mark[codes[ends[b] - size[b] : ends[b]]]) for b in others])
+            mark[own] = False
+            for i in np.flatnonzero(10 * shared >= int(10 * ALIKE) * (size[a] + size[others] - shared)):
+                yield names[a], names[others[i]]
+
+    def work(batches):
+        place, held, wanted = None, {}, []
+
+        def found():
+            pairs = list(alike(held, wanted))
+            return {"a": [a for a, _ in pairs], "b": [b for _, b in pairs]}
+
+        for batch in batches:
+            for p, kind, a, b, one in zip(*(batch.column(c).to_pylist() for c in ("place", "kind", "a", "b")), batch.column("set")):
+                if p != place:
+                    if wanted:
+                        yield found()
+                    place, held, wanted = p, {}, []
+                if kind:
+                    wanted.append((a, b))
+                else:
+                    held[a] = one.values.to_numpy(zero_copy_only=False)
+        if wanted:
+            yield found()
+
+    return by_task(rows.repartition("place").sortWithinPartitions("place", "kind"), "a long, b long", work)
 
 
 def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -205,37 +273,39 @@ def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     Each band's bucket links its members to a few of its nodes (the least, and
     the least by other orders), not to each other.  A member whose component is not that of the bucket's
     least node afterwards is compared with the whole bucket, other components
-    only and in the first bucket that two nodes share.  What is not compared
-    exactly is ruled out by ``close``, which no link fails, so a link is lost
-    only where two texts at ALIKE share no band.
+    only and in the first bucket that two nodes share; a large bucket is met in
+    parts.  What is not compared exactly is ruled out by ``close``, which no link
+    fails, so a link is lost only where two texts at ALIKE share no band.
     """
     rows = nodes.where("rep IS NOT NULL").select("node", F.posexplode("bands").alias("i", "band"))
-    buckets = rows.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n"), F.array(*[F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(1, LEADERS)]).alias("others")).where("n > 1").drop("n")
+    buckets = rows.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n"), F.array(*[F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(1, LEADERS)]).alias("others")).where("n > 1")
     held = saved(rows.join(buckets, "band"))
-    near = nodes.select("node", "bits")
+    near = saved(nodes.select("node", "bits").join(blocks_of(held, nodes), "node"))
     star = held.select("node", F.explode(F.array_distinct(F.concat(F.array("first"), "others"))).alias("leader")).where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared"))
-    star = star.join(near.select("node", F.col("bits").alias("x")), "node").join(near.select(F.col("node").alias("leader"), F.col("bits").alias("y")), "leader")
-    star = saved(star.where(close("x", "y")).select("node", "leader", "shared"))
+    star = star.join(near.select("node", F.col("bits").alias("x"), F.col("block").alias("a_block")), "node")
+    star = star.join(near.select(F.col("node").alias("leader"), F.col("bits").alias("y"), F.col("block").alias("b_block")), "leader")
+    star = saved(star.where(close("x", "y")).select(F.col("node").alias("a"), F.col("leader").alias("b"), "shared", "a_block", "b_block"))
     wanted = held.select("node").distinct().join(nodes.select("node", "rep"), "node")
     sets = saved(shingle_sets(docs, wanted))
 
-    best = star.groupBy("node").agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    best = star.groupBy("a").agg(F.max_by(F.struct("b", "a_block", "b_block"), F.struct("shared", "b")).alias("x")).select("a", "x.*")
     edges = saved(links(best, sets))
     comps = components(edges)
     of = lambda frame, node, out: frame.join(comps.select(F.col("node").alias(node), F.col("comp").alias(out)), node, "left").withColumn(out, F.coalesce(out, node))
-    rest = of(of(star.select(F.col("node").alias("a"), F.col("leader").alias("b")).join(best, ["a", "b"], "left_anti"), "a", "p"), "b", "q").where("p <> q").select("a", "b")
+    rest = of(of(star.join(best.select("a", "b"), ["a", "b"], "left_anti"), "a", "p"), "b", "q").where("p <> q")
     edges = saved(edges.unionByName(links(rest, sets)))
     comps = components(edges)
 
-    placed = saved(of(of(held.drop("others"), "node", "comp"), "first", "main").select("i", "band", "node", "comp", (F.col("comp") != F.col("main")).alias("apart")))
+    placed = saved(of(of(held.drop("others"), "node", "comp"), "first", "main").select("i", "band", "node", "comp", "n", (F.col("comp") != F.col("main")).alias("apart")))
     mixed_buckets = placed.where("apart").select("band").distinct()
-    placed = placed.join(mixed_buckets, "band", "left_semi").join(nodes.select("node", "bits", "bands"), "node")
-    r = placed.where("apart").select("band", "i", F.col("node").alias("a"), F.col("comp").alias("p"), F.col("bits").alias("x"), F.col("bands").alias("xb"))
-    t = placed.select(F.col("band").alias("band_"), F.col("node").alias("b"), F.col("comp").alias("q"), F.col("bits").alias("y"), F.col("bands").alias("yb"), F.col("apart").alias("also"))
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = placed.join(mixed_buckets, "band", "left_semi").join(near, "node").join(nodes.select("node", "bands"), "node").withColumn("parts", parts)
+    r = placed.where("apart").select("band", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "i", F.col("node").alias("a"), F.col("comp").alias("p"), F.col("bits").alias("x"), F.col("bands").alias("xb"), F.col("block").alias("a_block"))
+    t = placed.select(F.col("band").alias("band_"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part_"), F.col("node").alias("b"), F.col("comp").alias("q"), F.col("bits").alias("y"), F.col("bands").alias("yb"), F.col("apart").alias("also"), F.col("block").alias("b_block"))
     earliest = F.array_position(F.zip_with("xb", "yb", lambda m, n: m == n), True) == F.col("i") + 1
-    cross = r.join(t, (F.col("band") == F.col("band_")) & (F.col("p") != F.col("q")) & (~F.col("also") | (F.col("a") < F.col("b"))) & close("x", "y") & earliest)
-    cross = cross.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    return components(edges.unionByName(links(cross, sets)))
+    same = (F.col("band") == F.col("band_")) & (F.col("part") == F.col("part_"))
+    cross = r.join(t, same & (F.col("p") != F.col("q")) & (~F.col("also") | (F.col("a") < F.col("b"))) & close("x", "y") & earliest)
+    return components(edges.unionByName(links(cross.select("a", "b", "a_block", "b_block"), sets)))
 
 
 def classes(docs: DataFrame) -> DataFrame:
