@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from outpulse.catalog.ingest import DEDUP, NORMAL_SHAPE
 from outpulse.catalog.registry import product
-from outpulse.operators import upsert
+from outpulse.operators import ranking, upsert
 from outpulse.plans import ingest
 from outpulse.session import shared_folder
 from outpulse.sources import driver_tables as src
@@ -174,4 +174,4 @@ def _(spark, d):
 
 @product("price_medians", "account median_price:r", "SELECT account, median(price::DOUBLE) AS median_price FROM c_facts GROUP BY 1")
 def _(spark, d):
-    return src.send_facts(spark, d).groupBy("account").agg(F.median(F.col("price").cast("double")).alias("median_price"))
+    return ranking.medians(src.send_facts(spark, d).select("account", F.col("price").cast("double").alias("price")), ["account"], "price", "median_price")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from outpulse.operators.joins import overall
 from outpulse.session import stabilise
 
 
@@ -26,7 +25,50 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return top_k(df, keys, order, 1, "_first").drop("_first")
 
 
-HOT_ROWS = 1_000_000
+HOT_ROWS = 200_000  # distinct values, of some 50 bytes each, that one task may sort and every executor be sent
+
+
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, NULL being a key like others; the right side's keys do not come along."""
+    renamed = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return left.join(renamed, same, how).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
+def value_counts(df: DataFrame, keys: list[str], value: str, parts: int | None = None, descending: bool = False) -> DataFrame:
+    """Each distinct value per key with its rows ``_c``, the rows before it ``_below`` and those of the key ``_n``.
+
+    Equal values meet in a partial count, so a value that a third of all rows
+    have is one row.  Up to HOT_ROWS of them are added up in a plain window.
+    More are laid in one range sort of (key, value), narrow, and counted part by
+    part; the totals of the parts, one row each, are the offsets.  A key with
+    most of the values lies in many parts.  NULLs come first (last where
+    ``descending``).
+    """
+    counts = stabilise(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
+    return _added_up(counts, keys, value, parts, descending, counts.count() <= HOT_ROWS)
+
+
+def _added_up(counts: DataFrame, keys: list[str], value: str, parts: int | None, descending: bool, few: bool) -> DataFrame:
+    last = F.col(value).desc() if descending else F.col(value).asc()
+    if few:
+        group = Window.partitionBy(*(keys or [F.lit(0)]))
+        below = F.sum("_c").over(group.orderBy(last).rowsBetween(Window.unboundedPreceding, -1))
+        return counts.withColumn("_below", F.coalesce(below, F.lit(0))).withColumn("_n", F.sum("_c").over(group))
+    parts = parts or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*[F.col(k).asc() for k in keys], last]
+    placed = counts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = stabilise(placed.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)))
+    sizes = placed.groupBy("_part").agg(F.sum("_c").alias("_size"))
+    earlier = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # one row per part
+    offsets = sizes.select("_part", F.coalesce(earlier, F.lit(0)).alias("_offset"))
+    inside = F.sum("_c").over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    summed = placed.withColumn("_in", F.coalesce(inside, F.lit(0))).join(F.broadcast(offsets), "_part").withColumn("_below", F.col("_offset") + F.col("_in"))
+    summed = summed.select(*keys, value, "_c", "_below")
+    if not keys:
+        return summed.withColumn("_n", F.coalesce(placed.agg(F.sum("_c")).scalar(), F.lit(0)))
+    of_key = summed.groupBy(*keys).agg(F.min("_below").alias("_first"), F.sum("_c").alias("_n"))
+    return null_safe(summed, of_key, keys).withColumn("_below", F.col("_below") - F.col("_first")).drop("_first")
 
 
 def with_ranks(
@@ -39,67 +81,27 @@ def with_ranks(
 ) -> DataFrame:
     """Exact SQL RANK and group size for each ``(name, keys, value)``.
 
-    Adds ``<name>_rank`` and ``<name>_n``.  Values are cut at quantiles of the
-    whole column; a row is ranked inside its (key, bucket) and the sizes of the
-    lower buckets are added.  Values equal to a cut get a bucket of their own:
-    they tie, so they need no sorting, and where the cut repeats (the value
-    holds a large share of the rows) they are salted.  No sort therefore sees
-    more than about 1/buckets of the rows, whatever share one key or one value
-    has; by default there are twice as many buckets as partitions.  NULLs rank
-    first.
+    Adds ``<name>_rank`` and ``<name>_n``.  What is sorted are the distinct values
+    (``value_counts``, in ``buckets`` parts); the rows themselves look their rank
+    up: by broadcast where the values are counted to be few, else by a join in
+    which each rank is repeated for the ``salts`` of the rows.  No task therefore
+    sorts or receives a key or a value that holds a large share of the rows.
+    NULLs rank first.
     """
     out = df if stable else stabilise(df)
-    if buckets is None:
-        buckets = min(1024, max(16, 2 * out.rdd.getNumPartitions()))
-    points = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
-    values = list(dict.fromkeys(value for _, _, value in specs))
-    facts = overall(
-        out,
-        rows=F.count(F.lit(1)),
-        **{f"cuts_{c}": F.percentile_approx(F.col(c).cast("double"), points, F.lit(20 * buckets)) for c in values},
-        **{f"nulls_{c}": F.count_if(F.col(c).isNull()) for c in values},
-    )
+    hashed = [c for c, t in out.dtypes if not t.startswith("map")]
     for name, keys, value in specs:
-        v = F.col(value).cast("double")
-        cuts = F.coalesce(facts[f"cuts_{value}"], F.array().cast("array<double>"))
-        # Odd buckets hold one value (a cut), even ones an open interval, -1 NULL.
-        bucket = F.when(v.isNull(), F.lit(-1)).otherwise(
-            2 * F.size(F.filter("_cuts", lambda c: c < v))
-            + F.array_contains("_cuts", F.coalesce(v, F.lit(0.0))).cast("int")
-        )
-        marked = out.withColumn("_cuts", cuts).withColumn("_b", bucket)
-        cut = F.get("_cuts", F.expr("cast((_b - 1) div 2 AS int)"))
-        repeats = F.size(F.filter("_cuts", lambda c: c == cut))
-        heavy = F.when(F.col("_b") == -1, facts[f"nulls_{value}"] > HOT_ROWS).when(
-            F.col("_b") % 2 == 1, facts["rows"] * repeats / buckets > HOT_ROWS
-        )
-        salted = F.when(heavy, F.lit(salts)).otherwise(F.lit(1))
-        ranked = marked.withColumn("_s", F.pmod(F.xxhash64(*out.columns), salted).cast("int")).drop("_cuts")
-        inside = Window.partitionBy(*keys, "_b", "_s").orderBy(v.desc() if descending else v.asc())
-        ranked = ranked.withColumn("_in", F.rank().over(inside))
-
-        in_key = Window.partitionBy(*(keys or [F.lit(0)]))
-        by_bucket = in_key.orderBy(F.col("_b").desc() if descending else F.col("_b"))
-        lower = F.sum("_c").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1))
-        renamed = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-        offsets = (
-            marked.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
-            .withColumn("_below", F.coalesce(lower, F.lit(0)))
-            .withColumn(f"{name}_n", F.sum("_c").over(in_key))
-            .withColumn("_cuts", cuts)
-            .select(
-                *renamed, F.col("_b").alias("_ob"), "_below", f"{name}_n",
-                F.explode(F.sequence(F.lit(0), salted - 1)).alias("_os"),
-            )
-        )
-        same = (F.col("_b") == F.col("_ob")) & (F.col("_s") == F.col("_os"))
-        for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        out = (
-            ranked.join(offsets, same, "left")
-            .withColumn(f"{name}_rank", (F.col("_below") + F.col("_in")).cast("long"))
-            .drop("_b", "_s", "_ob", "_os", "_in", "_below", *[f"_k{i}" for i in range(len(keys))])
-        )
+        by = [*keys, value]
+        counts = stabilise(out.groupBy(*by).agg(F.count(F.lit(1)).alias("_c")))
+        few = counts.count() <= HOT_ROWS
+        ranks = _added_up(counts, keys, value, buckets, descending, few)
+        ranks = ranks.select(*by, (F.col("_below") + 1).cast("long").alias(f"{name}_rank"), F.col("_n").alias(f"{name}_n"))
+        if few:
+            out = null_safe(out, F.broadcast(ranks), by)
+        else:
+            ranks = ranks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            salted = out.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+            out = null_safe(salted, ranks, [*by, "_salt"]).drop("_salt")
     return out
 
 
@@ -134,3 +136,18 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
     numbers = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     return numbers.withColumn(name, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_at", "_part", "_before")
+
+
+def medians(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Exact median per key, NULL where a key has no value.
+
+    The middle ranks are picked from the counted distinct values, so no task
+    holds the values of a key, whatever share of the rows it has.
+    """
+    counts = value_counts(df.where(F.col(value).isNotNull()), keys, value)
+    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    end = F.col("_below") + F.col("_c")
+    holds = lambda rank: (F.col("_below") <= rank) & (rank < end)
+    middle = counts.where(holds(low) | holds(high))  # one value or two
+    found = middle.groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias(name))
+    return null_safe(df.select(*keys).distinct(), found, keys, "left") if keys else found

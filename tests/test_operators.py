@@ -69,6 +69,32 @@ def test_absent_from_two_keys(spark):
     assert [r["id"] for r in got.collect()] == [3]
 
 
+@pytest.mark.parametrize("few", [10, 200_000])
+def test_medians_of_a_hot_key(spark, monkeypatch, few):
+    """One key has a third of all rows; its values are sorted in parts, and none is collected."""
+    monkeypatch.setattr(ranking, "HOT_ROWS", few)
+    rng = random.Random(9)
+    rows = [("hot" if i % 3 == 0 else f"k{i % 7}", rng.choice([rng.gauss(0, 1), 1.5, 1.5])) for i in range(6000)] + [("none", None), (None, 4.0), (None, 7.0), ("one", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r["m"] for r in ranking.medians(df, ["k"], "v", "m").collect()}
+    want = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.median("v").alias("m")).collect()}
+    assert got == pytest.approx(want) and got["none"] is None and got[None] == 5.5
+    if few == 10:
+        counts = ranking.value_counts(df, ["k"], "v", parts=6)
+        assert {(r["k"], r["v"]): (r["_below"], r["_c"]) for r in counts.collect()} == {
+            (k, v): (sum(1 for a, b in rows if a == k and (v is not None and (b is None or b < v))), sum(1 for r in rows if r == (k, v))) for k, v in set(rows)}
+        sizes = [r[0] for r in counts.sparkSession.createDataFrame(rows, "k string, v double").where("k = 'hot'").distinct().repartitionByRange(6, "k", "v").groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert max(sizes) < 0.5 * sum(sizes)
+
+
+def test_numbered_in_one_order(spark):
+    rows = [(i * 7919 % 1000, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "v int, id int")
+    got = ranking.numbered(df, [F.col("v").desc(), F.col("id").asc()], "n").collect()
+    assert [(r["v"], r["id"]) for r in sorted(got, key=lambda r: r["n"])] == sorted(rows, key=lambda r: (-r[0], r[1]))
+    assert sorted(r["n"] for r in got) == list(range(1, 3001))
+
+
 def test_lag_equals_plain_window(spark):
     t0 = dt.datetime(2024, 1, 1)
     rng = random.Random(3)
