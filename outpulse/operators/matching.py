@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from outpulse.functions.text import similarity
 from outpulse.operators.ranking import first_per_key
+from outpulse.session import stabilise
 
 
 def nearest_in_time(
@@ -69,45 +70,86 @@ def first_available(parts: list[tuple[str, DataFrame]], id_col: str) -> DataFram
     return first_per_key(out, [id_col], [F.col("_o")]).drop("_o")
 
 
+def shared_ends(names: DataFrame, c: str) -> tuple[int, int]:
+    """Characters that all names begin and end with; one row is read.
+
+    Edit distance does not change when both names lose a common beginning or end.
+    """
+
+    def common(x: str, y: str) -> int:
+        return next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+
+    back = F.reverse(c)
+    low, high, last, first, short = names.agg(F.min(c), F.max(c), F.min(back), F.max(back), F.min(F.length(c))).first()
+    if low is None:
+        return 0, 0
+    head = min(common(low, high), short)
+    return head, min(common(last, first), short - head)
+
+
+def segment_pairs(left: DataFrame, right: DataFrame, edits: int) -> DataFrame:
+    """The pairs (``_l``, ``_m``) of names whose ``_x`` and ``_y`` are within ``edits`` edits."""
+    return segment_candidates(left, right, edits).where(F.levenshtein("_x", "_y", edits) >= 0).select("_l", "_m").distinct()
+
+
+def segment_candidates(left: DataFrame, right: DataFrame, edits: int, salts: int = 8) -> DataFrame:
+    """Rows of two names that share a segment; no pair within ``edits`` edits is missing.
+
+    The right string (``_y``) is cut into ``edits`` + 1 even segments; that many
+    edits leave one of them whole, in the left one (``_x``) moved by what lengths
+    and edits before and behind it allow.  Length, segment and place are part of
+    the key, so only rows that agree in all three meet.  A segment that many names have is
+    met in parts.
+    """
+    n = edits + 1
+    place = lambda size, i: F.floor(size * i / n).cast("int")  # noqa: E731  start of segment i, from 0
+    segment = F.explode(F.sequence(F.lit(0), F.lit(edits))).alias("i")
+    cut = right.withColumn("b", F.length("_y")).select("_m", "_y", "b", segment, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    cut = cut.withColumn("at", place(F.col("b"), F.col("i"))).withColumn("part", F.substring("_y", F.col("at") + 1, place(F.col("b"), F.col("i") + 1) - F.col("at")))
+    cut = cut.select("_m", "_y", "b", "i", "salt", "part")
+
+    a = F.length("_x")
+    seen = left.select("_l", "_x", F.explode(F.sequence(F.greatest(a - edits, F.lit(0)), a + edits)).alias("b")).select("_l", "_x", "b", segment)
+    seen = seen.withColumn("at", place(F.col("b"), F.col("i"))).withColumn("size", place(F.col("b"), F.col("i") + 1) - F.col("at"))
+    # Before segment i at most i edits, behind it at most edits - i: so far may it have moved.
+    moved = F.length("_x") - F.col("b")
+    low = F.greatest(F.col("at") - F.col("i"), F.col("at") + moved - (edits - F.col("i")), F.lit(0))
+    high = F.least(F.col("at") + F.col("i"), F.col("at") + moved + (edits - F.col("i")), F.length("_x") - F.col("size"))
+    seen = seen.withColumn("low", low).withColumn("high", high).where("low <= high").withColumn("s", F.explode(F.sequence("low", "high")))
+    seen = seen.select("_l", "_x", "b", "i", F.pmod(F.xxhash64("_l"), F.lit(salts)).cast("int").alias("salt"), F.substring("_x", F.col("s") + 1, F.col("size")).alias("part")).distinct()
+    return seen.join(cut, ["b", "i", "salt", "part"])
+
+
 def best_similar(
-    left: DataFrame, right: DataFrame, left_name: str, right_name: str, minimum: float = 0.8, grams: int = 2
+    left: DataFrame, right: DataFrame, left_name: str, right_name: str, minimum: float = 0.8
 ) -> DataFrame:
     """Closest right name per left name with similarity >= ``minimum``.
 
-    Names are blocked on their rarest n-grams before anything is compared.
-    Similarity ``minimum`` allows a name of length n at most
-    ``e = floor(n * (1 - minimum) / minimum)`` edits, and an edit touches at
-    most ``grams`` n-grams; so two such names share an n-gram among the
-    ``e * grams + 1`` rarest of each (the prefix-filter bound).  Blocking loses
-    no pair and mostly avoids the frequent n-grams.  Equal names are settled
-    first by an ordinary join and never reach the blocks.
+    Equal names are settled by an ordinary join.  The others are met edit by
+    edit: at one edit names are cut into two long segments, at two into three,
+    and so on (``segment_pairs``), and a left name takes part only while a pair
+    of so many edits could beat or tie what it has.  So near-equal names meet
+    through long segments first and most never come to the short, frequent ones.
+    What all names begin and end with is left away.
     """
     l = left.select(F.col(left_name).alias("_l")).where("_l <> ''").distinct()
     r = right.select(F.col(right_name).alias("_m")).where("_m <> ''").distinct()
-    equal = l.join(r, F.col("_l") == F.col("_m")).select("_l", "_m", F.lit(1.0).alias("score"))
+    found = l.join(r, F.col("_l") == F.col("_m")).select("_l", "_m", F.lit(1.0).alias("score"))
     rest = l.join(r, F.col("_l") == F.col("_m"), "left_anti")
-
-    def numbered(c: str) -> Column:
-        """n-grams with their occurrence number, so that repeats count."""
-        n = F.greatest(F.length(c) - grams + 1, F.lit(1))
-        raw = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(F.col(c), i, F.lit(grams)))
-        return F.transform(
-            raw,
-            lambda g, i: F.concat_ws("#", g, F.size(F.filter(F.slice(raw, 1, i + 1), lambda x: x == g)).cast("string")),
-        )
-
-    freq = (
-        rest.select(F.explode(numbered("_l")).alias("g")).unionAll(r.select(F.explode(numbered("_m")).alias("g")))
-        .groupBy("g").agg(F.count(F.lit(1)).alias("f"))
-    )
-
-    def keys(df: DataFrame, c: str) -> DataFrame:
-        edits = F.floor(F.length(c) * (1 - minimum) / minimum + 1e-9)
-        one_name = Window.partitionBy(c).orderBy("f", "g")  # the n-grams of a single name
-        ranked = df.select(c, F.explode(numbered(c)).alias("g")).join(freq, "g").withColumn("_o", F.row_number().over(one_name))
-        return ranked.where(F.col("_o") <= edits * grams + 1).select(c, "g")
-
-    pairs = keys(rest, "_l").join(keys(r, "_m"), "g").select("_l", "_m").distinct()
-    close = pairs.withColumn("score", similarity("_l", "_m")).where(F.col("score") >= minimum)
-    best = first_per_key(close, ["_l"], [F.col("score").desc(), F.col("_m")]).unionByName(equal)
-    return best.select(F.col("_l").alias(left_name), F.col("_m").alias(right_name), "score")
+    head, tail = shared_ends(rest.select("_l").unionByName(r.select(F.col("_m").alias("_l"))), "_l")
+    middle = lambda c: F.substring(F.col(c), F.lit(head + 1), F.length(c) - (head + tail))
+    open_names = stabilise(rest.select("_l", middle("_l").alias("_x"), F.lit(-1.0).alias("score"), F.lit(None).cast("string").alias("_m")))
+    names = stabilise(r.select("_m", middle("_m").alias("_y")))
+    a, edits = F.length("_l"), 0
+    while True:
+        edits += 1
+        # The likeness of a pair of so many edits is the greatest where the right name is that much longer.
+        could = 1 - edits / (a + edits).cast("double")
+        in_play = open_names.where((could >= F.greatest("score", F.lit(minimum)) - 1e-9))
+        if in_play.isEmpty():
+            break
+        pairs = segment_pairs(in_play.select("_l", "_x"), names, edits).withColumn("score", similarity("_l", "_m")).where(F.col("score") >= minimum)
+        better = first_per_key(pairs.unionByName(open_names.where("_m IS NOT NULL").select("_l", "_m", "score")), ["_l"], [F.col("score").desc(), F.col("_m")])
+        open_names = stabilise(open_names.select("_l", "_x").join(better, "_l", "left").select("_l", "_x", F.coalesce("score", F.lit(-1.0)).alias("score"), "_m"))
+    found = found.unionByName(open_names.where("_m IS NOT NULL").select("_l", "_m", "score"))
+    return found.select(F.col("_l").alias(left_name), F.col("_m").alias(right_name), "score")

@@ -146,6 +146,38 @@ def test_fuzzy_loses_no_pair(spark):
         assert got.get(v) == ((min(c)[1], round(-min(c)[0], 6)) if c else None)
 
 
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_segments_lose_no_pair(spark, edits):
+    rng = random.Random(edits)
+    right = ["".join(rng.choice("abc") for _ in range(rng.randrange(0, 12))) for _ in range(120)]
+    left = ["".join(rng.choice("abc") for _ in range(rng.randrange(0, 12))) for _ in range(120)]
+    l = spark.createDataFrame([(x, x) for x in set(left)], "_l string, _x string")
+    r = spark.createDataFrame([(x, x) for x in set(right)], "_m string, _y string")
+    every = l.join(r, F.levenshtein("_x", "_y") <= edits).select("_l", "_m")
+    assert read_pairs(matching.segment_pairs(l, r, edits)) == read_pairs(every)
+
+
+def read_pairs(df):
+    return {tuple(r) for r in df.collect()}
+
+
+def test_near_equal_names_meet_few_others(spark, monkeypatch):
+    """20,000 names that differ in their last digits: pairs that meet, against all pairs."""
+    names = spark.range(20_000).select(F.format_string("Customer#%09d", F.col("id") * 7).alias("m"))
+    asked = spark.range(20_000).select(F.format_string("Customer#%09d", F.col("id") * 7 + 1).alias("n"))
+    met, plain = [], matching.segment_candidates
+
+    def counted(*args):
+        met.append(plain(*args))
+        return met[-1]
+
+    monkeypatch.setattr(matching, "segment_candidates", counted)
+    got = matching.best_similar(asked, names, "n", "m")
+    assert got.count() == 20_000 and got.where("score < 1 - 1.0000001 / 18").count() == 0
+    assert 0 < sum(df.count() for df in met) < 0.02 * 20_000**2
+    assert matching.shared_ends(names, "m") == (12, 0)
+
+
 def test_merge_keeps_the_fresher_row(spark):
     cols = "k string, v int, at int, id string"
     old = spark.createDataFrame([("a", 1, 10, "x"), ("b", 2, 10, "x")], cols)
