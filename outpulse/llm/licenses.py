@@ -15,11 +15,18 @@ BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2
 #: Short notices searched with errors: text of words, label, errors (insertions, deletions, substitutions of characters).
 NOTICES = (
     ("released under the mit license", "mit", 3),
+    ("released under the bsd license", "bsd", 3),
+    ("released under the isc license", "isc", 3),
+    ("released under the gpl license", "gpl", 3),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6),
     ("licensed under the apache license version 2 0", "apache-2", 4),
     ("licensed under cc by nc 4 0", "cc-by-nc", 2),
+    ("licensed under cc by nd 4 0", "cc-by-nd", 2),
+    ("licensed under cc by sa 4 0", "cc-by-sa", 2),
     ("creative commons attribution noncommercial", "cc-by-nc", 4),
+    ("creative commons attribution noderivatives", "cc-by-nd", 4),
     ("creative commons attribution sharealike", "cc-by-sa", 4),
+    ("gnu affero general public license version 3", "agpl-3", 3),
     ("gnu general public license version 3", "gpl-3", 3),
     ("gnu general public license version 2", "gpl-2", 3),
     ("gnu lesser general public license", "lgpl", 3),
@@ -28,16 +35,19 @@ NOTICES = (
     ("this is free and unencumbered software released into the public domain", "unlicense", 6),
     ("all rights reserved", "all-rights-reserved", 1),
 )
+#: Words that tell a notice from its neighbours: errors may touch any other word, these must stand as they are.
+DECIDING = {"mit", "bsd", "isc", "gpl", "nc", "nd", "sa", "gnu", "affero", "lesser"}
 
 
 @dataclass(frozen=True)
 class Span:
-    """A place in the joined words: character span, errors, label."""
+    """A place in the joined words: character span, errors, label, the notice's words."""
 
     start: int
     end: int
     errors: int
     label: str
+    phrase: str = ""
 
 
 def seeds(phrase: str, errors: int) -> list[tuple[int, str]]:
@@ -47,7 +57,7 @@ def seeds(phrase: str, errors: int) -> list[tuple[int, str]]:
 
 
 #: Licences whose notices are a few characters from each other; others are families of their own.
-FAMILIES = {"gpl-2": "gpl", "gpl-3": "gpl", "lgpl": "gpl", "cc-by-nc": "cc", "cc-by-sa": "cc"}
+FAMILIES = {"gpl-2": "gpl", "gpl-3": "gpl", "lgpl": "gpl", "agpl-3": "gpl", "gpl": "gpl", "cc-by-nc": "cc", "cc-by-nd": "cc", "cc-by-sa": "cc"}
 VERSION = regex.compile(r"version ([\d ]+)$")
 #: Version numbers and errors of the notices that end in a version, by label.
 VERSIONS = {label: (m[1].split(), errors) for phrase, label, errors in NOTICES if (m := VERSION.search(phrase))}
@@ -64,9 +74,17 @@ def of_version(span: Span, joined: str) -> bool:
     return bool(found) and found == numbers[: len(found)]
 
 
+def decided(span: Span, joined: str) -> bool:
+    """Whether the words that the span touches hold the deciding words of its notice, each whole."""
+    start = joined.rfind(" ", 0, span.start + 1) + 1
+    end = joined.find(" ", span.end - 1)
+    around = joined[start : end if end >= 0 else len(joined)].split(" ")
+    return all(word in around for word in span.phrase.split(" ") if word in DECIDING)
+
+
 def resolved(spans: list[Span], joined: str) -> list[Span]:
-    """Spans of the right version, and of overlapping ones in a family those of fewest errors."""
-    kept = [x for x in spans if of_version(x, joined)]
+    """Spans with the deciding words and the version of their notice; of overlapping ones in a family those of fewest errors."""
+    kept = [x for x in spans if decided(x, joined) and of_version(x, joined)]
     family = lambda x: FAMILIES.get(x.label, x.label)
     return [x for x in kept if not any(family(y) == family(x) and y.errors < x.errors and y.start < x.end and x.start < y.end for y in kept)]
 
@@ -121,7 +139,7 @@ class Scanner:
                     merged.append([a, b])
             for a, b in merged:
                 for m in pattern.finditer(joined, a, min(b, len(joined))):
-                    spans.append(Span(m.start(), m.end(), sum(m.fuzzy_counts), label))
+                    spans.append(Span(m.start(), m.end(), sum(m.fuzzy_counts), label, phrase))
         return spans
 
 

@@ -191,6 +191,19 @@ def test_license_versions(spark, text, labels):
     assert {x.label for x in licenses.resolved(licenses.scanner().fuzzy(joined), joined)} == labels
 
 
+@pytest.mark.parametrize(("text", "labels"), [
+    ("Released under the BSD license", {"bsd"}), ("released under the ISC license.", {"isc"}), ("Released under the GPL license", {"gpl"}), ("Released under the MIT licence", {"mit"}),
+    ("Relased under teh MIT license", {"mit"}), ("released under the zlib license", set()), ("released under the wtf license", set()),
+    ("licensed under CC BY-ND 4.0", {"cc-by-nd"}), ("licensed under CC BY-SA 4.0", {"cc-by-sa"}), ("licenced under CC BY-NC 4.0", {"cc-by-nc"}), ("CC BY-SA 4.0", set()),
+    ("licensed under CC BY 4.0", set()), ("GNU Affero General Public License, version 3", {"agpl-3"}), ("Affero General Public License version 3", set()),
+    ("GNU Lesser General Public License", {"lgpl"}), ("Creative Commons Attribution-NoDerivatives", {"cc-by-nd"}), ("creative commons attribution non commercial", {"cc-by-nc"}),
+    ("released under the mit license and released under the bsd license", {"mit", "bsd"}),
+])
+def test_license_neighbours(text, labels):
+    joined = f" {' '.join(words(text))} "
+    assert {x.label for x in licenses.resolved(licenses.scanner().fuzzy(joined), joined)} == labels
+
+
 def test_license_base(spark, edges, nothing):
     text = "Under the MIT License. under the mit license\nCC-BY-NC Cc by nc Apache License, Version 2.0 É under the mit licenses"
     r = licenses.scan(frame(spark, [(1, text)])).first()
