@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from outpulse.llm.common import by_batch, saved, texts
 from outpulse.llm.tokens_file import END, library
 
-COARSE = 512  # length classes of the fitted patterns
+COARSE = 1024  # length classes of the fitted patterns
 DEPTH = 4  # documents of a fitted pattern at most; more join when room is left
-REST = 4  # classes that a fitted pattern may leave empty
+REST = 2  # classes that a fitted pattern may leave empty
+PATTERNS = 300  # rounds of the fit, each of which adds one pattern at most
 
 
 def active_set(b: np.ndarray, steepest: Callable[[np.ndarray], tuple], rounds: int) -> dict:
@@ -89,7 +90,7 @@ def fitted(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
         gradient, pattern = best
         return pattern, pattern and np.bincount(pattern, minlength=most + 1)[1:].astype(float), gradient
 
-    return [(p, int(n + 1e-6)) for p, n in sorted(active_set(counts, steepest, 2 * most).items(), key=lambda x: -x[1])]
+    return [(p, int(n + 1e-6)) for p, n in sorted(active_set(counts, steepest, PATTERNS).items(), key=lambda x: -x[1])]
 
 
 def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
@@ -100,7 +101,7 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
     and rounded down.  What is left, and the room that rounding to classes left
     in the patterns, is filled best-fit, largest first, on counts: the work
     depends on ``size`` and the number of different lengths, not on how many
-    documents there are.  Best-fit alone is kept where it needs fewer sequences.
+    documents there are.
     """
     histogram = {n: c for n, c in histogram.items() if c > 0}
     if any(not 0 < n <= size for n in histogram):
@@ -110,7 +111,7 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
     for n, c in histogram.items():
         if -(-n // unit) <= len(counts):
             counts[-(-n // unit) - 1] += c
-    return min((filled(histogram, size, unit, patterns) for patterns in (fitted(counts), [])), key=lambda found: sum(n for _, n in found))
+    return filled(histogram, size, unit, fitted(counts))
 
 
 def filled(histogram: dict[int, int], size: int, unit: int, patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[tuple[int, ...], int]]:
