@@ -15,7 +15,7 @@ from outpulse.llm.toxicity import scored
 
 SAMPLE = 6_000  # labelled documents learnt from at most: half for the dictionaries, half for the calibration
 BLOCK = 1024  # bytes compressed at once, so that a dictionary weighs the same in long and short texts
-BLOCKS = 16_000  # per class that a dictionary is trained on at most
+BLOCKS = 16_000  # per class that a dictionary is trained on at most: what bounds the one training task
 DICTIONARY = 1 << 17  # bytes at most
 
 
@@ -40,12 +40,11 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=1, dict_data=found, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-def sizes(text: str, bad: bytes, good: bytes) -> tuple[float, float]:
-    """Bytes saved by the good dictionary over the bad one, and bytes left with the good one, per byte of text."""
+def difference(text: str, bad: bytes, good: bytes) -> float:
+    """Bytes saved by the good dictionary over the bad one per byte of text (empty: 0)."""
     parts = blocks(text)
-    n = sum(map(len, parts)) + len(parts)
     with_bad, with_good = (sum(len(compressor(d).compress(b)) for b in parts) for d in (bad, good))
-    return ((with_bad - with_good) / n, with_good / n) if n else (0.0, 0.0)
+    return (with_bad - with_good) / (sum(map(len, parts)) + len(parts)) if parts else 0.0
 
 
 def calibrated(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -59,10 +58,11 @@ def calibrated(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int = SAMPLE) -> tuple[bytes, bytes, list[float]]:
-    """The bad and the good dictionary and the calibration (intercept, difference, size).
+def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int = SAMPLE, most: int = BLOCKS) -> tuple[bytes, bytes, list[float]]:
+    """The bad and the good dictionary and the calibration (intercept, difference).
 
-    A class without samples has an empty dictionary; with one class alone, or
+    The dictionaries learn from ``most`` blocks of the sample per class at most, in
+    hash order.  A class without samples has an empty dictionary; with one class alone, or
     no label at all, the calibration is the smoothed share of good labels.
     """
     rows = saved(labelled_texts(docs, labels, target, sample).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2))))
@@ -71,14 +71,13 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
         out = {"label": [], "at": [], "block": []}
         for doc_id, text, label in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label"))):
             for i, b in enumerate(blocks(text)):
-                if len(b) >= 8:
-                    out["label"].append(label)
-                    out["at"].append(xxhash.xxh64_intdigest(f"{doc_id} {i}") >> 1)
-                    out["block"].append(b)
+                out["label"].append(label)
+                out["at"].append(xxhash.xxh64_intdigest(f"{doc_id} {i}") >> 1)
+                out["block"].append(b)
         return out
 
     cuts = by_batch(rows.where("part = 0"), "label int, at long, block binary", cut)
-    few = cuts.where("label = 0").orderBy("at", "block").limit(BLOCKS).unionByName(cuts.where("label = 1").orderBy("at", "block").limit(BLOCKS))
+    few = cuts.where("label = 0").orderBy("at", "block").limit(most).unionByName(cuts.where("label = 1").orderBy("at", "block").limit(most))
 
     def train(batches):
         found: dict[int, list[bytes]] = {0: [], 1: []}
@@ -91,18 +90,17 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
     bad, good = trained.get(0, b""), trained.get(1, b"")
 
     def measure(batch):
-        pairs = [sizes(t, bad, good) for t in batch.column("text").to_pylist()]
-        return {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "difference": [p[0] for p in pairs], "size": [p[1] for p in pairs]}
+        return {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "difference": [difference(t, bad, good) for t in batch.column("text").to_pylist()]}
 
-    seen = by_batch(rows.where("part = 1"), "doc_id long, label int, difference double, size double", measure).orderBy("doc_id").collect()
+    seen = by_batch(rows.where("part = 1"), "doc_id long, label int, difference double", measure).orderBy("doc_id").collect()
     y = np.array([r.label for r in seen], float)
     if not 0 < y.sum() < len(y):
         share = (y.sum() + 1) / (len(y) + 2)
-        return bad, good, [float(np.log(share / (1 - share))), 0.0, 0.0]
-    return bad, good, calibrated(np.array([(r.difference, r.size) for r in seen]), y).tolist()
+        return bad, good, [float(np.log(share / (1 - share))), 0.0]
+    return bad, good, calibrated(np.array([r.difference for r in seen]), y).tolist()
 
 
-def score(docs: DataFrame, labels: DataFrame, target: str = "quality", threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, target: str = "quality", threshold: float = 0.7, sample: int = SAMPLE, most: int = BLOCKS) -> DataFrame:
     """Adds ``held_out``, ``score`` (0 to 1, higher: good likelier) and ``predicted`` to every row of ``docs``.
 
     Both dictionaries (DICTIONARY bytes at most each) are broadcast; every
@@ -111,12 +109,11 @@ def score(docs: DataFrame, labels: DataFrame, target: str = "quality", threshold
     tables give no row.  The columns of ``docs`` stay; of the same names, the
     new ones win.
     """
-    bad, good, weights = fit(docs, labels, target, sample)
+    bad, good, weights = fit(docs, labels, target, sample, most)
     model = docs.sparkSession.sparkContext.broadcast((bad, good, weights))
 
     def margin(text: str) -> float:
-        d_bad, d_good, (a, b, c) = model.value
-        difference, size = sizes(text, d_bad, d_good)
-        return a + b * difference + c * size
+        d_bad, d_good, (intercept, slope) = model.value
+        return intercept + slope * difference(text, d_bad, d_good)
 
     return scored(docs, margin, threshold)
