@@ -350,6 +350,24 @@ def test_plan_shares_sequences_of_a_hot_length(histogram, most):
     assert sum(t for _, t in found) <= most
 
 
+@pytest.mark.parametrize("times", [1, 50])
+def test_plan_is_the_fitted_one(times, monkeypatch):
+    lengths = np.minimum(2048, np.maximum(1, np.random.default_rng(1).lognormal(6, 1.2, 20000).astype(int)))
+    histogram = {n: c * times for n, c in Counter(lengths.tolist()).items()}
+    bound = math.ceil(sum(n * c for n, c in histogram.items()) / 2048)
+    fits = []
+    monkeypatch.setattr(packing, "fitted", lambda counts, fit=packing.fitted: fits.append(fit(counts)) or fits[-1])
+    found = packing.plan(histogram, 2048)
+    assert sum(n for _, n in found) <= 1.002 * bound
+    assert sum(n for _, n in fits[0]) >= 0.9 * bound  # nearly all sequences start as fitted patterns
+    unit = 2048 // packing.COARSE
+    starts = Counter()
+    for pattern, n in found:
+        starts[tuple(sorted(-(-x // unit) for x in pattern[: packing.DEPTH]))] += n
+    kept = sum(min(n, starts[p]) for p, n in fits[0])
+    assert kept >= 0.5 * bound  # and stay so in the result
+
+
 def test_plan_fits_patterns_of_more_than_two():
     assert sum(t for _, t in packing.plan({1032: 6000, 528: 6000, 520: 6000, 496: 12000}, 2048)) == 9000
     lengths = np.random.default_rng(3).normal(500, 120, 20000).astype(int).clip(1, 2048)
@@ -475,3 +493,19 @@ def test_search_edges(edges, nothing):
     got = search.top_k(edges, edges.where("doc_id = 1")).collect()
     assert [(r.query_id, r.rank, r.doc_id) for r in got][:2] == [(1, 1, 1), (1, 2, 1)]
     assert search.top_k(nothing, nothing).count() == 0 and search.top_k(edges, nothing).count() == 0
+
+
+def test_quality_score_is_the_calibrated_difference(spark):
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(200).union(spark.createDataFrame([(10**9, None)], "doc_id long, text string").select(
+        *[F.col(c) if c in ("doc_id", "text") else F.lit(None).alias(c) for c in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").columns]))
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    docs = docs.checkpoint()
+    bad, good, (intercept, slope) = quality.fit(docs, labels)
+    size = lambda raw, d: len(zstandard.ZstdCompressor(level=1, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False).compress(raw))
+    for r in quality.score(docs, labels).collect():
+        raw = (r.text or "").encode()
+        parts = [raw[i : i + quality.BLOCK] for i in range(0, len(raw), quality.BLOCK)]
+        d = sum(size(p, bad) - size(p, good) for p in parts) / (len(raw) + len(parts)) if parts else 0.0
+        assert abs(r.score - 1 / (1 + math.exp(-(intercept + slope * d)))) < 1e-9
