@@ -6,46 +6,46 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from outpulse.functions.text import similarity
+from outpulse.operators.ordered import sliced
 from outpulse.operators.ranking import first_per_key
 from outpulse.session import stabilise
 
 
 def nearest_in_time(
     left: DataFrame, right: DataFrame, keys: list[str], left_id: str, left_at: str, right_at: str, right_id: str,
-    chunk: str = "day", before: str | None = None, after: str | None = None,
+    before: str | None = None, after: str | None = None, parts: int | None = None,
 ) -> DataFrame:
     """For each left row the right row of the same key nearest in time.
 
-    Both sides are laid on one timeline per key and cut into chunks of a day
-    (or hour).  Inside a chunk the neighbours are running last/first values;
-    across chunks only the first and last right row of every chunk travel.  A
-    key with a third of all rows is therefore sorted chunk by chunk, and no
-    pair is ever emitted.  ``before``/``after`` are intervals that bound how
+    Both sides are laid on one timeline per key and cut into slices of about
+    equal rows (``sliced``).  Inside a slice the neighbours are running last/first
+    values; across slices only the first and last right row of every slice
+    travel.  A key and day with a third of all rows is therefore several sorts,
+    and no pair is ever emitted.  ``before``/``after`` are intervals that bound how
     far the match may lie.  Of equally near rows the earlier one, then the
     smaller id, wins.  Right columns come back in the struct ``match``.
     """
     cols = [c for c in right.columns if c not in (*keys, right_at, right_id)]
     payload = F.struct(F.col(right_at).alias("at"), F.col(right_id).alias("id"), *cols)
     unique = first_per_key(right.dropna("any", subset=[*keys, right_at]), [*keys, right_at], [F.col(right_id)])
-    cut = lambda c: F.date_trunc(chunk, F.col(c))
-    r = unique.select(*keys, cut(right_at).alias("_c"), F.col(right_at).alias("_t"), F.lit(None).cast(left.schema[left_id].dataType).alias(left_id), payload.alias("_r"))
+    r = unique.select(*keys, F.col(right_at).alias("_t"), F.lit(None).cast(left.schema[left_id].dataType).alias(left_id), payload.alias("_r"))
     l = left.dropna("any", subset=[*keys, left_at]).select(
-        *keys, cut(left_at).alias("_c"), F.col(left_at).alias("_t"), left_id, F.lit(None).cast(r.schema["_r"].dataType).alias("_r")
+        *keys, F.col(left_at).alias("_t"), left_id, F.lit(None).cast(r.schema["_r"].dataType).alias("_r")
     )
     inside = Window.partitionBy(*keys, "_c").orderBy("_t")
     back = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     # The same running frame on the reversed order: a frame that ends unbounded is recomputed for every row.
     ahead = Window.partitionBy(*keys, "_c").orderBy(F.col("_t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    line = l.unionByName(r)
+    line = sliced(l.unionByName(r), keys, ["_t", left_id], parts)
     near = line.select(
         *keys, "_c", "_t", left_id,
         F.last("_r", ignorenulls=True).over(back).alias("_p"), F.last("_r", ignorenulls=True).over(ahead).alias("_n"),
     ).where(F.col(left_id).isNotNull())
     ends = line.groupBy(*keys, "_c").agg(F.min("_r").alias("_lo"), F.max("_r").alias("_hi"))
-    over_chunks = Window.partitionBy(*keys).orderBy("_c")  # one row per chunk
+    over_slices = Window.partitionBy(*keys).orderBy("_c")  # one row per slice
     carry = ends.select(
         *keys, "_c",
-        F.last("_hi", ignorenulls=True).over(over_chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_cp"),
+        F.last("_hi", ignorenulls=True).over(over_slices.rowsBetween(Window.unboundedPreceding, -1)).alias("_cp"),
         F.last("_lo", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(F.col("_c").desc()).rowsBetween(Window.unboundedPreceding, -1)).alias("_cn"),
     )
     both = near.join(carry, [*keys, "_c"], "left")

@@ -1,14 +1,17 @@
 """Nothing is lost: hot groups, rejected rows, repeated runs, compatibility characters."""
 
+import bisect
 import time
 import unicodedata
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from outpulse.functions import text
 from outpulse.operators.matching import nearest_in_time
+from outpulse.operators.ordered import lagged, sliced
 from outpulse.plans import content, slots
 from outpulse.sources import reports
 
@@ -75,3 +78,44 @@ def test_a_repeated_run_adds_nothing_to_the_bank(spark, tmp_path):
 
 def test_price_steps_by_position():
     assert slots.LADDER == (-1.0, 0.0, 1.0, 2.0, -2.0)
+
+
+def hot_day(spark, rows):
+    """A third of all rows in one account and day, a tenth at one moment of it; the rest over 30 days and 50 accounts."""
+    n = F.col("id")
+    at = F.when(n % 10 == 0, 43_200).when(n % 3 == 0, F.pmod(F.xxhash64("id"), F.lit(86_400))).otherwise(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(30 * 86_400)))
+    key = F.when((n % 10 == 0) | (n % 3 == 0), "hot").when(n % 41 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("a"), n % 50))
+    return spark.range(rows).select("id", key.alias("k"), (F.expr("timestamp_ntz'2024-01-01 00:00:00'") + F.make_dt_interval(secs=at.cast("decimal(18,6)"))).alias("at"))
+
+
+def test_slices_follow_the_density(spark):
+    parts, rows = 24, 48_000
+    found = sliced(hot_day(spark, rows), ["k"], ["at", "id"], parts)
+    sizes = [r["count"] for r in found.groupBy("k", "_c").count().collect()]
+    assert sum(sizes) == rows and max(sizes) < 2 * rows / parts
+    hot = found.where("k = 'hot' AND to_date(at) = date'2024-01-01'").groupBy("_c").count().count()
+    assert hot >= parts / 4  # one account and day is several sorts
+
+
+def test_lag_and_nearest_of_a_hot_day(spark):
+    df = hot_day(spark, 20_000).cache()
+    got = lagged(df, ["k"], ["at", "id"], ["id"], 3, parts=16)
+    w = Window.partitionBy("k").orderBy("at", "id")
+    want = df.select(F.col("id"), *[F.lag("id", n).over(w).alias(f"e{n}") for n in (1, 2, 3)])
+    assert got.count() == 20_000
+    assert got.join(want, "id").where("NOT (id_lag1 <=> e1 AND id_lag2 <=> e2 AND id_lag3 <=> e3)").count() == 0
+
+    left, right = df.where("id % 2 = 0").toDF("l", "k", "l_at"), df.where("id % 2 = 1").toDF("r", "k", "r_at")
+    found = {r.l: (r.id, r.gap) for r in nearest_in_time(left, right, ["k"], "l", "l_at", "r_at", "r", parts=16).selectExpr("l", "match.id", "match.at AS gap").collect()}
+    moments = {}
+    for r in right.where("k IS NOT NULL").collect():
+        moments.setdefault(r.k, {}).setdefault(r.r_at, []).append(r.r)
+    whole = {k: sorted(v) for k, v in moments.items()}
+    for r in left.where("k IS NOT NULL").collect():
+        if r.k not in whole:
+            assert r.l not in found
+            continue
+        times = whole[r.k]
+        i = bisect.bisect_left(times, r.l_at)
+        best = min(times[max(0, i - 1) : i + 1], key=lambda t: (abs(t - r.l_at), t))
+        assert found[r.l] == (min(moments[r.k][best]), best)
