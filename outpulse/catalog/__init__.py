@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("ingest", "semantic", "ranking", "planning", "advice", "quality", "jobs")
+AREAS = ("ingest", "semantic", "ranking", "planning", "advice", "quality", "jobs", "upkeep")
 
 
 def load_products():

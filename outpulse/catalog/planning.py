@@ -484,14 +484,18 @@ SELECT w.*, categories, 100 * (score - lo) / nullif(hi - lo, 0) AS score_100 FRO
 JOIN (SELECT account, date_local, hod, slot_rank, min(score) AS lo, max(score) AS hi, count(DISTINCT category) AS categories FROM c_weighted_all GROUP BY 1, 2, 3, 4) USING (account, date_local, hod, slot_rank)"""
 
 
-@layer("weighted_ranking")
-def weighted(spark, d):
+def ranked_by_weights(spark, d, settings=None):
     return rank.weighted_ranking(
         plan(spark, d), rk.performance(spark, d), sem.facts(spark, d), src.accounts(spark, d),
-        semantic.weekday_hour_scores(sem.local(spark, d), AS_OF), src.templates(spark, d), AS_OF,
+        semantic.weekday_hour_scores(sem.local(spark, d), AS_OF), src.templates(spark, d), AS_OF, settings=settings,
     )
 
 
+@layer("weighted_ranking")
+def weighted(spark, d):
+    return ranked_by_weights(spark, d)
+
+
 @product(
     "weighted_ranking",
     "account template date_local:d hod:i slot_rank:i rank:i score:r score_100:r cooldown_ok dedupe_ok reason categories:i",
@@ -501,6 +505,24 @@ def _(spark, d):
     return weighted(spark, d)
 
 
+# Settings for one state only, an old row and a live one with two weights; all else takes the defaults.
+_TUNED = {"rps": 0.40, "epsilon": 0.20}
+_tuned_all = SHARED_SQL["c_weighted_all"]
+for _name, _value in _TUNED.items():
+    _tuned_all = _tuned_all.replace(_w(_name), f"CASE page_state WHEN 'grow' THEN {_value} ELSE {_w(_name)} END")
+SHARED_SQL["c_tuned_all"] = _tuned_all
+
+
+@product(
+    "tuned_ranking",
+    "account template date_local:d hod:i slot_rank:i rank:i score:r score_100:r cooldown_ok dedupe_ok reason categories:i",
+    SHARED_SQL["c_weighted"].replace("c_weighted_all", "c_tuned_all"),
+)
+def _(spark, d):
+    rows = [("grow", 0.01, None, "2024-01-01 00:00:00"), ("grow", _TUNED["rps"], _TUNED["epsilon"], "2024-01-20 00:00:00")]
+    return ranked_by_weights(spark, d, spark.createDataFrame(rows, "page_state string, rps double, epsilon double, updated_at string"))
+
+
 _PB = "CASE tier || w.page_type " + " ".join(f"WHEN '{t}{p}' THEN {{{i}}}" for i, (t, p) in enumerate(slots.PRICE_BANDS)) + " END"
 
 

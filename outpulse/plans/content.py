@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from outpulse.functions import clock, text
@@ -14,7 +14,6 @@ from outpulse.operators.matching import best_similar
 from outpulse.operators.ranking import first_per_key
 from outpulse.operators.upsert import added_only
 from outpulse.plans.ingest import parsed_reports
-from outpulse.session import stabilise
 
 
 def backfill(reports: DataFrame, names: DataFrame, active: DataFrame) -> DataFrame:
@@ -80,17 +79,20 @@ def bank_rows(inflow: DataFrame) -> DataFrame:
 
 def update_bank(spark: SparkSession, inflow: DataFrame, bank_path: str, log_path: str, run_id: str, run_at: str) -> dict:
     """Append new rows to the bank and log the run; a failure is logged whole,
-    then raised again.  A repeated run finds its rows there and adds none."""
+    then raised again.  A repeated run finds its rows there and adds none.
+
+    Source and new rows are counted while they pass to the writer, not by jobs of their own.
+    """
     error, added, seen = None, 0, 0
     try:
-        rows = stabilise(bank_rows(inflow))
-        seen = rows.count()
+        source, new = Observation(), Observation()
+        rows = bank_rows(inflow).observe(source, F.count(F.lit(1)).alias("rows"))
         target = spark._jvm.org.apache.hadoop.fs.Path(bank_path)
         if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
             old = spark.read.schema(rows.schema).parquet(bank_path)
-            rows = stabilise(added_only(old, rows, ["hash_v2"], [F.col("template_id")]))
-        added = rows.count()
-        rows.write.mode("append").parquet(bank_path)
+            rows = added_only(old, rows, ["hash_v2"], [F.col("template_id")])
+        rows.observe(new, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(bank_path)
+        seen, added = source.get["rows"], new.get["rows"]
         return {"source_rows": seen, "inserted": added}
     except Exception as exc:
         error = str(exc)

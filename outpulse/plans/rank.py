@@ -269,10 +269,15 @@ def latest_settings(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def weighted_ranking(
     plan: DataFrame, perf: DataFrame, facts: DataFrame, accounts: DataFrame, timing: DataFrame, categories: DataFrame,
-    as_of: str, keep: int = 20, min_cooldown_hours: int = 6, max_weekly_uses: int = 3,
+    as_of: str, keep: int = 20, min_cooldown_hours: int = 6, max_weekly_uses: int = 3, settings: DataFrame | None = None,
 ) -> DataFrame:
     """Planned slots x the account's templates, scored with the weights of the
-    account's state, with reason codes and eligibility-first order."""
+    account's state, with reason codes and eligibility-first order.
+
+    ``settings`` holds weights per ``page_state`` under the names of
+    ``STATE_WEIGHTS``, the newest row of a state (``updated_at``) being used; a
+    state without a row, or a weight that is NULL there, takes the default.
+    """
     week = clock.within_days("sent_at", as_of, 7)
     use = facts.groupBy("account", "template").agg(
         F.max("sent_at").alias("last_sent"), F.count_if(week).alias("uses_7d"), F.countDistinct(F.when(week, F.col("sent_date"))).alias("days_7d"),
@@ -293,12 +298,19 @@ def weighted_ranking(
         name: F.element_at(F.create_map(*[x for mode, state in MODE_STATE.items() for x in (F.lit(mode), F.lit(STATE_WEIGHTS[state][name]))]), F.col("page_state"))
         for name in next(iter(STATE_WEIGHTS.values()))
     }
+    if settings is not None:
+        weight = {name: F.coalesce(F.col(f"_w_{name}"), default) for name, default in weight.items()}
     packed = plan.join(hours.select("account", "dow", "hod", "timing_pct", F.col("score").alias("timing_score")), ["account", "dow", "hod"], "left").groupBy("account").agg(
         F.collect_list(F.struct("date_local", "hod", "dow", "slot_rank", "timing_pct", "timing_score")).alias("slots")  # a week's slots
     )
     side = (
         packed.join(accounts.select("account", "page_type", "page_state"), "account").join(momentum, "account", "left").join(bands, "account", "left")
     )
+    if settings is not None:
+        have = [name for name in weight if name in settings.columns]
+        live = latest_settings(settings, ["page_state"]).select(
+            "page_state", *[(F.col(n).cast("double") if n in have else F.lit(None).cast("double")).alias(f"_w_{n}") for n in weight])
+        side = salted_lookup(side, live, ["page_state"])
     rows = salted_lookup(perf, side, ["account"], "inner").join(use, ["account", "template"], "left")
     rows = salted_lookup(rows, categories.select("template", "category"), ["template"], "inner")
     rows = rows.withColumn("s", F.explode("slots")).select("*", "s.*").drop("s", "slots")
@@ -321,7 +333,7 @@ def weighted_ranking(
         "reason": F.when(F.col("cold_start"), "cold_start_exploration").when(F.col("explore"), "epsilon_exploration")
         .when(F.col("rps_pct") > 0.8, "high_performer").when(F.col("timing_pct") > 0.7, "optimal_timing")
         .when(F.col("novelty") > 0.9, "fresh_content").otherwise("balanced_selection"),
-    })
+    }).drop(*[f"_w_{name}" for name in weight])
     slot = ["account", "date_local", "hod"]
     # Slot ranges and category counts come from a partial aggregate, not from a window over the slot.
     spans = rows.groupBy(*slot).agg(F.min("score").alias("lo"), F.max("score").alias("hi"), F.countDistinct("category").alias("categories"))
