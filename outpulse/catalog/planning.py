@@ -417,9 +417,14 @@ SELECT *, greatest(rest, 1) AS cooldown_days, coalesce(last_used_at + to_days(CA
   CASE WHEN rps > rps90 THEN 'ELITE' WHEN rps > rps75 THEN 'HIGH_PERFORMER' WHEN rps > 0 THEN 'AVERAGE' ELSE 'UNTESTED' END AS performance_tier FROM y"""
 
 
+def ranked_copy(spark, d):
+    """The copy that is ranked for a slot, sent before or not."""
+    return src.templates(spark, d).join(diverse(spark, d).select("template").distinct(), "template", "left_semi")
+
+
 @layer("smart_cooldowns")
 def cooldowns(spark, d):
-    f, t = sem.facts(spark, d), semantic.in_play(src.templates(spark, d), sem.facts(spark, d))
+    f, t = sem.facts(spark, d), ranked_copy(spark, d)
     return rank.smart_cooldowns(
         diverse(spark, d), semantic.template_features(t), semantic.fatigue_scores(f, AS_OF), semantic.last_used(f, AS_OF),
         semantic.engagement_scores(t), semantic.engagement_patterns(f, AS_OF), src.accounts(spark, d), AS_OF,

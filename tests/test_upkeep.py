@@ -8,11 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from outpulse.catalog import planning
 from outpulse.functions import text
 from outpulse.operators.intervals import overlap_report
-from outpulse.plans import settings
+from outpulse.plans import rank, settings
 from outpulse.sources import bulk
 
+from conftest import SF
+
 
 def test_overlap_equals_day_sets(spark):
     rng, first = random.Random(4), dt.date(2024, 1, 1)
@@ -76,3 +79,18 @@ def test_settings_at_a_time(spark):
     for i, k, at in rows:
         past = [(since, version, w) for key, version, since, w in history if key == k and since and since <= at]
         assert found[i] == ((max(past)[2], True) if past else (-1.0, False))
+
+
+def test_cooldowns_know_the_level_of_copy_never_sent(spark):
+    named = planning.ranked_copy(spark, SF).select("template")
+    ranked = planning.diverse(spark, SF).select("template").distinct()
+    assert named.count() == ranked.join(named, "template").count() > 0
+    # Two templates on one account, neither sent before: the one with a level rests by it.
+    slots = spark.createDataFrame([("p", t, dt.datetime(2024, 2, 1), 0.0, 0.1) for t in ("t1", "t2")], "account_page string, template string, slot_at timestamp_ntz, rps_eb double, score double")
+    copy = spark.createDataFrame([("t1", "an explicit note for adults"), ("t2", "a plain note")], "template string, body string").withColumn("category", F.lit("x"))
+    none = lambda schema: spark.createDataFrame([], schema)
+    page = spark.createDataFrame([("acct", "p")], "account string, account_page string")
+    got = rank.smart_cooldowns(
+        slots, copy.select("template", text.content_level("body").alias("content_level")), none("account string, template string, fatigue double"),
+        none("account string, template string, last_used_at timestamp_ntz"), none("template string, engagement double"), none("account string, volume_tier string"), page, "2024-01-31 00:00:00")
+    assert {r.template: r.base_days for r in got.collect()} == {"t1": 10, "t2": 5}
