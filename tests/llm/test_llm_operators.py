@@ -137,6 +137,32 @@ def test_likeness_is_exact():
     assert fingerprint.fingerprints(d) == fingerprint.fingerprints(fingerprint.Digests(many))
 
 
+def test_likeness_from_fingerprints_alone(spark):
+    """What the query gives can be computed again from its two strings, and is near the share counted in the texts."""
+    rnd = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    base = [" ".join(rnd.choice(vocabulary) for _ in range(n)) for n in (0, 3, 30, 400, 400, 2000, 20000, 60000) for _ in range(12)]
+    rate = [rnd.choice([0, 0.002, 0.05, 1]) for _ in base]
+    other = [" ".join(rnd.choice(vocabulary) if rnd.random() < r else w for w in t.split(" ")) for t, r in zip(base, rate)]
+    prints = [fingerprint.fingerprints(fingerprint.Digests(x)) for x in (base, other)]
+    got = [r[0] for r in spark.createDataFrame(list(zip(*prints)) + [(None, "")], "a string, b string").coalesce(1).select(fingerprint.likeness_of("a", "b")).collect()]
+    assert got.pop() is None
+    errors = []
+    for a, b, near in zip(base, other, got):
+        x, y = (Counter(fingerprint.paragraphs(t)) for t in (a, b))
+        apart, total = sum(((x - y) + (y - x)).values()), sum((x | y).values())
+        errors.append(abs(near - ((total - apart) / total if total else 1)))
+        if apart <= 8:
+            assert errors[-1] < 1e-9
+    assert np.mean(errors) < 0.05 and max(errors) < 0.5
+    swapped = fingerprint.Ladders.read(prints[0][::-1])  # other fingerprints, other likeness: the texts have no say
+    rows = np.arange(len(base))
+    assert np.mean(fingerprint.ladder_likeness(swapped, rows, fingerprint.Ladders.read(prints[1]), rows)) < np.mean(got) - 0.3
+    docs = frame(spark, list(enumerate(base)))
+    for r in fingerprint.compare_with_next(docs).withColumn("again", fingerprint.likeness_of("fingerprint", "edited_fingerprint")).collect():
+        assert r.again == r.near_edited
+
+
 def test_next_document(spark, edges, nothing):
     got = fingerprint.compare_with_next(edges).collect()
     order = sorted(EDGES, key=lambda x: (x[0] is None, -(x[0] or 0), x[1] or ""))
