@@ -71,6 +71,26 @@ def _(spark, d):
     return reports.missing_required(read).withColumn("missing", F.array_join("reasons", ","))
 
 
+@product(
+    "mixed_reports", "message_id message sending_time price viewed:i sender note missing",
+    """SELECT message_id, 'Café Ñandú ' || message AS message, sending_time, price, viewed, CASE WHEN event_id % 3 = 0 THEN sender END AS sender,
+         CASE WHEN event_id % 3 <> 0 THEN 'n° ' || event_id END AS note, 'missing run_id,missing ingested_at,missing ingestion_date,missing source_file' AS missing FROM c_landing""",
+)
+def _(spark, d):
+    """One folder of files in two encodings, under two headers of other names and order."""
+    path, n = place(spark, "mixed"), F.substring("message_id", 2, 20).cast("long")
+    rows = reports.landing_reports(spark, d).withColumn("message", F.concat(F.lit("Café Ñandú "), "message"))
+    views = F.format_number("viewed", 0)
+    rows.where(n % 3 == 0).select(
+        F.col("message_id").alias("Msg ID"), F.col("message").alias("Caption"), F.col("sending_time").alias("Sent At"), F.col("price").alias("Price"), views.alias("Views"),
+        F.col("sender").alias("Sent By")).write.option("header", True).csv(path)
+    rows.where(n % 3 != 0).select(
+        views.alias("view count"), F.concat(F.lit("n° "), n.cast("string")).alias("Note"), F.col("price").alias("Amount"), F.col("message").alias("TEXT"),
+        F.col("message_id").alias("id"), F.col("sending_time").alias("timestamp")).write.mode("append").options(header=True, encoding="ISO-8859-1").csv(path)
+    read = reports.standardise(reports.read_text_with_fallback(spark, path).drop("source_file"))
+    return reports.missing_required(read).withColumn("missing", F.array_join("reasons", ","))
+
+
 @product("upserted_facts", NORMAL_SHAPE + " run_id", "SELECT * FROM o_report_fact_upsert")
 def _(spark, d):
     path = place(spark, "facts")

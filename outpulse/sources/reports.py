@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Iterable
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from outpulse.session import stabilise
 from outpulse.sources.driver_tables import spread, table
 
 LANDING_SCHEMA = T.StructType(
@@ -59,31 +61,39 @@ def unique_headers(names: Iterable[str]) -> list[str]:
     return out
 
 
-def original_headers(columns: list[str]) -> list[str]:
-    """Undo the position Spark appends to repeated CSV headers."""
-    bare = [c[: -len(str(i))] if c.endswith(str(i)) else c for i, c in enumerate(columns)]
-    low = [b.lower() for b in bare]
-    return [b if low.count(b.lower()) > 1 else c for b, c in zip(bare, columns)]
-
-
-def read_csv_reports(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Header-row CSV exports, every column text, tagged with file and row id."""
-    raw = spark.read.option("header", True).option("encoding", encoding).csv(path)
-    named = raw.toDF(*unique_headers(original_headers(raw.columns)))
-    cols = named.columns
-    filled = named.withColumn("source_file", F.col("_metadata.file_path")).dropna("all", subset=cols)
-    return filled.withColumn("row_id", F.sha2(F.to_json(F.struct("source_file", *cols)), 256))
+MOST_HEADERS = 10_000  # different header lines in one folder
 
 
 def read_text_with_fallback(spark: SparkSession, path: str) -> DataFrame:
-    """UTF-8 where a file decodes, Latin-1 for the files that do not."""
-    utf8 = read_csv_reports(spark, path)
-    broken = F.concat_ws("", *[c for c in utf8.columns if c != "source_file"]).contains("�")
-    bad = utf8.where(broken).select("source_file").distinct()
-    latin = read_csv_reports(spark, path, "ISO-8859-1")
-    return utf8.join(bad, "source_file", "left_anti").unionByName(
-        latin.join(bad, "source_file", "left_semi"), allowMissingColumns=True
-    )
+    """CSV files, each under its own header and in its own encoding, every column text, with file and row id.
+
+    A file is read as UTF-8 where all its lines decode, else as Latin-1.  Its
+    first line that is not blank is its header; the result has the columns of
+    all headers, NULL where a file lacks one, and a repeat of the header inside
+    a file is no row.  Lines are split before they are decoded, so a large file
+    is many tasks; a quoted value may hold no line break.  One pass finds
+    headers and encodings, another reads the rows.  Only the different header
+    lines reach the driver, and more than ``MOST_HEADERS`` are an error.
+    """
+    bare = F.col("value").cast("binary")  # the text source keeps the bytes of a line as they are
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).select(
+        bare.alias("line"), F.is_valid_utf8("value").alias("valid"), F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("start"))
+    ordered = lines.withColumn("at", F.monotonically_increasing_id()).withColumn("at", F.when(F.col("start") == 0, F.col("at")))
+    files = stabilise(ordered.groupBy("source_file").agg(F.min_by("line", "at").alias("header"), F.bool_and("valid").alias("utf8")))
+    found = files.select("header", "utf8").distinct().limit(MOST_HEADERS + 1).collect()
+    if len(found) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers in {path}")
+    heads = [(r.header, r.utf8, unique_headers(next(csv.reader([bytes(r.header).decode("utf-8-sig" if r.utf8 else "latin-1")])))) for r in found]
+    columns = list(dict.fromkeys(name for _, _, names in heads for name in names))
+    places = [(h, u, [names.index(c) if c in names else -1 for c in columns]) for h, u, names in heads]
+    few = F.broadcast(spark.createDataFrame(places, "header binary, utf8 boolean, places array<int>"))  # MOST_HEADERS rows
+    rows = lines.join(files.join(few, ["header", "utf8"]), "source_file").where(F.col("line") != F.col("header"))
+    text = F.when(F.col("utf8"), F.decode("line", "UTF-8")).otherwise(F.decode("line", "ISO-8859-1"))
+    width = max((len(names) for _, _, names in heads), default=1)
+    cells = rows.select("source_file", "places", F.from_csv(text, ", ".join(f"c{i} string" for i in range(width))).alias("c"))
+    cells = cells.select("source_file", "places", F.array(*[F.col(f"c.c{i}") for i in range(width)]).alias("cells"))
+    named = cells.select("source_file", *[F.get("cells", F.get("places", F.lit(i))).alias(c) for i, c in enumerate(columns)])
+    return named.dropna("all", subset=columns).withColumn("row_id", F.sha2(F.to_json(F.struct("source_file", *columns)), 256))
 
 
 def standardise(df: DataFrame) -> DataFrame:

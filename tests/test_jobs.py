@@ -198,6 +198,25 @@ def test_csv_headers_encoding_and_standard_columns(spark, tmp_path):
     assert "missing source_file" in reports.missing_required(std).first()["reasons"]
 
 
+def test_files_of_other_headers_and_encodings(spark, tmp_path):
+    d = tmp_path / "csv"
+    d.mkdir()
+    (d / "a.csv").write_bytes(b"\xef\xbb\xbf" + "Caption,Views\r\n\r\nna\u00efve,1\r\nCaption,Views\r\nb\r\n".encode())
+    (d / "b.csv").write_bytes("Views,Note,Note,Caption\n2,x,\"y,z\",caf\xe9\n,,,\n".encode("latin-1"))
+    (d / "c.csv").write_bytes(b"Caption,Views\n")
+    (d / "d.csv").write_bytes(b"")
+    lines = "".join(f"r{i},{i}\n" for i in range(3000))
+    (d / "e.csv").write_bytes(("Caption,Views\n" + lines + "last \xfc,7\n").encode("latin-1"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # e.csv is several tasks; only the last line is not ASCII
+    try:
+        df = reports.read_text_with_fallback(spark, str(d))
+        assert set(df.columns) == {"source_file", "row_id", "caption", "views", "note", "note_2"}
+        got = {(r.caption, r.views, r.note, r.note_2) for r in df.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {("na\u00efve", "1", None, None), ("b", None, None, None), ("caf\xe9", "2", "x", "y,z"), ("last \xfc", "7", None, None)} | {(f"r{i}", str(i), None, None) for i in range(3000)}
+
+
 def test_sinks(spark, landing, tmp_path):
     path = str(tmp_path / "land")
     reports.land(landing, path)
