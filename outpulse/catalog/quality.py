@@ -467,13 +467,16 @@ SELECT o.override_id, o.assignee, o.account, revenue, projected, revenue - proje
 FROM o JOIN a ON a.account = o.account AND a.template = o.new_template AND a.sent_date = o.day JOIN p ON p.account = o.account AND p.template = o.old_template"""
 
 
-def feedback(spark, d):
-    f = sem.facts(spark, d)
-    o = f.select(
+def overrides(spark, d):
+    return sem.facts(spark, d).select(
         F.col("message_id").alias("override_id"), "account", F.col("sender").alias("assignee"), F.col("template").alias("new_template"),
         F.concat(F.lit("tpl_"), ((F.substring("template", 5, 18).cast("long") + 1) % src.table(spark, d, "documents").agg(F.count(F.lit(1))).scalar()).cast("string")).alias("old_template"), F.col("sent_date").alias("day"))
+
+
+def feedback(spark, d):
+    f = sem.facts(spark, d)
     p = f.groupBy("account", "template").agg(F.avg(F.col("earnings").cast("double")).alias("projected"))
-    return content.override_feedback(o, f, p)
+    return content.override_feedback(overrides(spark, d), f, p)
 
 
 @product("override_feedback", "override_id assignee account revenue:r projected:r delta:r result", "SELECT * FROM c_feedback")
@@ -490,6 +493,68 @@ def _(spark, d):
     return content.override_accuracy(feedback(spark, d))
 
 
+SHARED_SQL["c_overrides"] = """SELECT message_id AS override_id, account, sender AS assignee, template AS new_template,
+  'tpl_' || ((CAST(substr(template, 5) AS BIGINT) + 1) % (SELECT count(*) FROM documents)) AS old_template, sent_date AS day FROM c_facts"""
+
+
+@product(
+    "override_training", "override_id assignee account day:d result delta:r open_rate_delta:r total_overrides:i successful:i assignee_accuracy:r training_priority",
+    f"""WITH a AS (SELECT account, template, sent_date, sum(viewed) / sum(sent) AS rate FROM c_facts GROUP BY 1, 2, 3), b AS (SELECT account, template, sum(viewed) / sum(sent) AS rate FROM c_facts GROUP BY 1, 2),
+      j AS (SELECT o.*, result, delta, a.rate - b.rate AS open_rate_delta FROM c_overrides o LEFT JOIN c_feedback USING (override_id)
+        LEFT JOIN a ON a.account = o.account AND a.template = o.new_template AND a.sent_date = o.day LEFT JOIN b ON b.account = o.account AND b.template = o.old_template)
+      SELECT * FROM (SELECT *, count(*) OVER w AS total_overrides, count(*) FILTER (result = 'SUCCESS') OVER w AS successful, count(*) FILTER (result = 'SUCCESS') OVER w / count(*) OVER w AS assignee_accuracy,
+        CASE WHEN delta > 10 THEN 'HIGH_VALUE_LEARNING' WHEN delta < -10 THEN 'HIGH_COST_MISTAKE' ELSE 'STANDARD_SIGNAL' END AS training_priority FROM j WINDOW w AS (PARTITION BY assignee))
+      WHERE day BETWEEN {TODAY} - 30 AND {TODAY}""",
+)
+def _(spark, d):
+    o = overrides(spark, d)
+    return content.override_training(o, feedback(spark, d), content.open_rate_changes(o, sem.facts(spark, d)), AS_OF)
+
+
+@product(
+    "override_impacts", "assignee overrides:i successes:i failures:i avg_impact:r total_impact:r success_pct:r top_impacts:j",
+    """SELECT assignee, count(*) AS overrides, count(*) FILTER (result = 'SUCCESS') AS successes, count(*) FILTER (result = 'FAILURE') AS failures, avg(delta) AS avg_impact, sum(delta) AS total_impact,
+        100 * count(*) FILTER (result = 'SUCCESS') / count(*) AS success_pct, list(account || ' ' || result ORDER BY n) FILTER (n <= 5) AS top_impacts
+      FROM (SELECT *, row_number() OVER (PARTITION BY assignee ORDER BY round(abs(delta), 6) DESC, override_id) AS n FROM c_feedback) GROUP BY 1""",
+)
+def _(spark, d):
+    found = content.override_impacts(feedback(spark, d))
+    return found.withColumn("top_impacts", F.transform("impacts", lambda x: F.concat_ws(" ", x["account"], x["result"])))
+
+
+@product(
+    "new_account_rows", "account_key account account_type status created_date:d last_active_date:d valid_from:t valid_to:t is_current source",
+    f"""SELECT standard_name AS account_key, standard_name AS account, account_type, 'active' AS status, {TODAY} AS created_date, CAST(last_seen AS DATE) AS last_active_date, {NOW} AS valid_from,
+        TIMESTAMP '9999-12-31 23:59:59' AS valid_to, true AS is_current, 'reports' AS source
+      FROM (SELECT *, row_number() OVER (PARTITION BY standard_name ORDER BY last_seen DESC, raw_name) AS n FROM o_new_name_mapping) WHERE n = 1
+        AND standard_name NOT IN (SELECT regexp_replace(lower(display_name), '[^a-z0-9]+', '_', 'g') FROM c_accounts WHERE page_state = 'grow')""",
+)
+def _(spark, d):
+    grown = src.accounts(spark, d).where("page_state = 'grow'").select(F.regexp_replace(F.lower("display_name"), "[^a-z0-9]+", "_").alias("account_key"))
+    return ingest.new_account_rows(ingest.name_mapping(landing_reports(spark, d), ing.known_names(spark, d), AS_OF), grown, AS_OF, "reports")
+
+
+_HEALTH = """SELECT '{0}' AS dataset, count(*) AS records, count(*) FILTER ({1} IS NULL) AS missing_keys, count({1}) - count(DISTINCT {1}) AS repeated_keys, CAST(max({2}) AS DATE) AS latest FROM {3}"""
+
+
+@product(
+    "table_health", "dataset records:i missing_keys:i repeated_keys:i latest:d status",
+    f"""WITH h AS (SELECT *, CASE WHEN records = 0 THEN 'EMPTY' WHEN missing_keys + repeated_keys > 0 THEN 'KEY ISSUES' WHEN {TODAY} - latest > 2 THEN 'STALE' ELSE 'HEALTHY' END AS status FROM (
+        {_HEALTH.format('accounts', 'account', 'NULL::DATE', 'c_accounts')} UNION ALL {_HEALTH.format('templates', 'template', 'NULL::DATE', 'c_templates')}
+        UNION ALL {_HEALTH.format('sends', 'message_id', 'sent_date', 'c_facts')}
+        UNION ALL {_HEALTH.format('reports', 'CASE WHEN event_id % 13 <> 0 THEN message_id END', 'ingestion_date', 'c_landing')}
+        UNION ALL {_HEALTH.format('features', "account_page || '/' || template", TODAY, 'c_store')}))
+      SELECT * FROM h UNION ALL SELECT 'all', sum(records), sum(missing_keys), sum(repeated_keys), max(latest),
+        CASE WHEN count(*) FILTER (status = 'EMPTY' OR missing_keys > 0) = 0 THEN 'HEALTHY' ELSE 'ISSUES DETECTED' END FROM h""",
+)
+def _(spark, d):
+    landed = landing_reports(spark, d).withColumn("message_id", F.when(F.substring("message_id", 2, 20).cast("long") % 13 != 0, F.col("message_id")))
+    return quality.with_overall([
+        quality.table_health("accounts", src.accounts(spark, d), ["account"], None, AS_OF), quality.table_health("templates", src.templates(spark, d), ["template"], None, AS_OF),
+        quality.table_health("sends", sem.facts(spark, d), ["message_id"], F.col("sent_date"), AS_OF),
+        quality.table_health("reports", landed, ["message_id"], F.col("ingestion_date"), AS_OF), quality.table_health("features", rk.store(spark, d), ["account_page", "template"], F.col("computed_date"), AS_OF)])
+
+
 @product(
     "visible_pages", "page_id:i words:i",
     """SELECT page_id, len(regexp_extract_all(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)\\b.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&[A-Za-z0-9#]+;', ' ', 'g'), '\\s+', ' ', 'g')), '[\\p{L}\\p{N}]+')) AS words FROM pages""",

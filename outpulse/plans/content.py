@@ -11,7 +11,7 @@ from outpulse.functions import clock, text
 from outpulse.functions.numeric import num, ratio
 from outpulse.operators.joins import absent_from, group_stats, salted_lookup
 from outpulse.operators.matching import best_similar
-from outpulse.operators.ranking import first_per_key
+from outpulse.operators.ranking import first_per_key, top_k
 from outpulse.operators.upsert import added_only
 from outpulse.plans.ingest import parsed_reports
 
@@ -241,6 +241,39 @@ def override_accuracy(feedback: DataFrame) -> DataFrame:
     ).withColumn("accuracy", ratio("successes", "overrides"))
 
 
+def open_rate_changes(overrides: DataFrame, sends: DataFrame) -> DataFrame:
+    """Open rate of the overriding template that day less that of the one it replaced over all its sends on the account."""
+    def opened(*keys: str) -> DataFrame:
+        return sends.groupBy("account", "template", *keys).agg(ratio(F.sum("viewed"), F.sum("sent")).alias("rate"))
+
+    now = opened("sent_date").withColumnsRenamed({"template": "new_template", "sent_date": "day", "rate": "new_rate"})
+    before = opened().withColumnsRenamed({"template": "old_template", "rate": "old_rate"})
+    j = salted_lookup(overrides.select("override_id", "account", "new_template", "old_template", "day"), now, ["account", "new_template", "day"])
+    j = salted_lookup(j, before, ["account", "old_template"])
+    return j.select("override_id", (F.col("new_rate") - F.col("old_rate")).alias("open_rate_delta"))
+
+
+def override_training(overrides: DataFrame, feedback: DataFrame, changes: DataFrame, as_of: str, days: int = 30) -> DataFrame:
+    """Every override of the last ``days`` with its outcome, where it is known, how often its assignee was
+    right over all overrides, and how much there is to learn from it."""
+    j = overrides.select("override_id", "assignee", "account", "day").join(feedback.select("override_id", "result", "delta"), "override_id", "left").join(changes, "override_id", "left")
+    known = j.groupBy("assignee").agg(F.count(F.lit(1)).alias("total_overrides"), F.count_if(F.col("result") == "SUCCESS").alias("successful"))
+    j = salted_lookup(j.where(clock.day_within("day", as_of, days)), known, ["assignee"])
+    priority = F.when(F.col("delta") > 10, "HIGH_VALUE_LEARNING").when(F.col("delta") < -10, "HIGH_COST_MISTAKE").otherwise("STANDARD_SIGNAL")
+    return j.withColumns({"assignee_accuracy": ratio("successful", "total_overrides"), "training_priority": priority})
+
+
+def override_impacts(feedback: DataFrame, top: int = 5) -> DataFrame:
+    """Outcomes per assignee, with the ``top`` of the largest effect, a tie going to the smaller id."""
+    per = feedback.groupBy("assignee").agg(
+        F.count(F.lit(1)).alias("overrides"), F.count_if(F.col("result") == "SUCCESS").alias("successes"), F.count_if(F.col("result") == "FAILURE").alias("failures"),
+        F.avg("delta").alias("avg_impact"), F.sum("delta").alias("total_impact")).withColumn("success_pct", 100 * ratio("successes", "overrides"))
+    sized = feedback.withColumn("size", F.round(F.abs("delta"), 6))
+    best = top_k(sized, ["assignee"], [F.col("size").desc(), F.col("override_id")], top).groupBy("assignee").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "account", "result", "delta"))).alias("impacts"))  # ``top`` rows each
+    return per.join(best, "assignee", "left")
+
+
 def ingestion_monitor(log: DataFrame) -> DataFrame:
     """Runs, inserted rows, duplicates and errors per day of the run log."""
     return log.groupBy(F.to_date("run_at").alias("run_date")).agg(

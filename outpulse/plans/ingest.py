@@ -10,7 +10,7 @@ from outpulse.functions.hashing import report_row_key
 from outpulse.functions.money import parse_money
 from outpulse.functions.numeric import num, ratio
 from outpulse.operators.joins import absent_from, salted_lookup
-from outpulse.operators.ranking import first_per_key
+from outpulse.operators.ranking import first_per_key, top_k
 
 FEE_KEPT = 0.8
 
@@ -260,6 +260,23 @@ def name_mapping(reports: DataFrame, known: DataFrame, as_of: str, days: int = 3
     )
 
 
+# Fixed value: the end of a dimension row that is current.
+OPEN_END = "9999-12-31 23:59:59"
+
+
+def new_account_rows(mapping: DataFrame, dimension: DataFrame, as_of: str, source: str) -> DataFrame:
+    """Dimension rows for mapped names whose account is not there yet, valid from ``as_of`` on.
+
+    Names that lead to one account give one row, that of the name seen last (then the smaller name).
+    """
+    one = top_k(mapping, ["standard_name"], [F.col("last_seen").desc(), F.col("raw_name")], 1)
+    fresh = absent_from(one, (dimension.select(F.col("account_key").alias("standard_name")), ["standard_name"]))
+    return fresh.select(
+        F.col("standard_name").alias("account_key"), F.col("standard_name").alias("account"), "account_type", F.lit("active").alias("status"),
+        clock.day(as_of).alias("created_date"), F.to_date("last_seen").alias("last_active_date"), clock.moment(as_of).alias("valid_from"),
+        F.lit(OPEN_END).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"), F.lit(source).alias("source"))
+
+
 def template_dimension(templates: DataFrame, owners: DataFrame) -> DataFrame:
     """Current version of every template with tags and owner."""
     tags = F.array_sort(F.array_distinct(F.filter(

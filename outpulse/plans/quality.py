@@ -213,6 +213,29 @@ def reconciliation(facts: DataFrame, fact: DataFrame) -> DataFrame:
     return side(facts, "source", "account", "template").unionByName(side(fact, "fact", "account_key", "template_key")).unionByName(side(valid, "valid", "account_key", "template_key"))
 
 
+def table_health(name: str, df: DataFrame, keys: list[str], day: Column | None, as_of: str, stale_days: int = 2) -> DataFrame:
+    """Rows, missing and repeated keys and the latest day of one table, with its status, in one row."""
+    missing = F.greatest(*[F.col(k).isNull().cast("int") for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull().cast("int")
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max(day if day is not None else F.lit(None).cast("date")).alias("latest"))
+    a = per_key.withColumn("missing", missing).agg(
+        F.lit(name).alias("dataset"), F.coalesce(F.sum("n"), F.lit(0)).alias("records"), F.coalesce(F.sum(F.col("n") * F.col("missing")), F.lit(0)).alias("missing_keys"),
+        F.coalesce(F.sum((F.col("n") - 1) * (1 - F.col("missing"))), F.lit(0)).alias("repeated_keys"), F.max("latest").alias("latest"))
+    old = F.coalesce(clock.days_between(clock.day(as_of), "latest") > stale_days, F.lit(False))
+    return a.withColumn("status", F.when(F.col("records") == 0, "EMPTY").when(F.col("missing_keys") + F.col("repeated_keys") > 0, "KEY ISSUES").when(old, "STALE").otherwise("HEALTHY"))
+
+
+def with_overall(tables: list[DataFrame]) -> DataFrame:
+    """The tables' health and one row for all of them: healthy if none is empty and no key is missing."""
+    each = tables[0]
+    for t in tables[1:]:
+        each = each.unionByName(t)
+    bad = F.count_if((F.col("status") == "EMPTY") | (F.col("missing_keys") > 0))
+    whole = each.agg(
+        F.lit("all").alias("dataset"), F.sum("records").alias("records"), F.sum("missing_keys").alias("missing_keys"), F.sum("repeated_keys").alias("repeated_keys"),
+        F.max("latest").alias("latest"), F.when(bad == 0, "HEALTHY").otherwise("ISSUES DETECTED").alias("status"))
+    return each.unionByName(whole)
+
+
 def bank_quality(templates: DataFrame) -> DataFrame:
     t = F.col("_tokens")
     f = templates.withColumn("_tokens", text.tokens("body")).select(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from outpulse.catalog import planning
 from outpulse.functions import text
 from outpulse.operators.intervals import overlap_report
-from outpulse.plans import rank, settings
+from outpulse.plans import content, quality, rank, settings, slots
 from outpulse.sources import bulk
 
 from conftest import SF
@@ -94,3 +94,50 @@ def test_cooldowns_know_the_level_of_copy_never_sent(spark):
         slots, copy.select("template", text.content_level("body").alias("content_level")), none("account string, template string, fatigue double"),
         none("account string, template string, last_used_at timestamp_ntz"), none("template string, engagement double"), none("account string, volume_tier string"), page, "2024-01-31 00:00:00")
     assert {r.template: r.base_days for r in got.collect()} == {"t1": 10, "t2": 5}
+
+
+def test_table_health(spark):
+    rows = [("a", "2024-01-30"), ("b", "2024-01-29"), ("b", "2024-01-28"), (None, "2024-01-31"), (None, None)]
+    df = spark.createDataFrame(rows, "k string, d string").withColumn("d", F.to_date("d"))
+    def of(x, day="d"):
+        r = quality.table_health("t", x, ["k"], F.col(day) if day else None, "2024-01-31 00:00:00").first()
+        return r.records, r.missing_keys, r.repeated_keys, str(r.latest), r.status
+
+    assert of(df) == (5, 2, 1, "2024-01-31", "KEY ISSUES")
+    assert of(df.where("k = 'a'")) == (1, 0, 0, "2024-01-30", "HEALTHY")
+    assert of(df.where("k = 'a'"), None) == (1, 0, 0, "None", "HEALTHY")
+    assert of(df.where("d < DATE'2024-01-29'")) == (1, 0, 0, "2024-01-28", "STALE")
+    assert of(df.where("false")) == (0, 0, 0, "None", "EMPTY")
+    parts = [quality.table_health("t", x, ["k"], F.col("d"), "2024-01-31 00:00:00") for x in (df.where("k = 'a'"), df.where("false"))]
+    assert {r.dataset: r.status for r in quality.with_overall(parts).collect()}["all"] == "ISSUES DETECTED"
+    assert {r.dataset: r.status for r in quality.with_overall(parts[:1]).collect()}["all"] == "HEALTHY"
+
+
+def test_override_outcomes(spark):
+    made = lambda rows, schema: spark.createDataFrame(rows, schema).withColumn("day", F.to_date("day"))
+    o = made([(f"o{i}", "S", "a", "n", "p", "2024-01-20" if i else "2023-11-01") for i in range(7)], "override_id string, assignee string, account string, new_template string, old_template string, day string")
+    f = spark.createDataFrame([("o0", "S", "a", "SUCCESS", 50.0)] + [(f"o{i}", "S", "a", "FAILURE", -11.0 if i < 3 else -1.0) for i in range(1, 6)], "override_id string, assignee string, account string, result string, delta double")
+    sends = spark.createDataFrame([("a", "n", "2024-01-20", 10, 5), ("a", "n", "2024-01-21", 10, 0), ("a", "p", "2024-01-02", 8, 2)], "account string, template string, sent_date string, sent long, viewed long").withColumn("sent_date", F.to_date("sent_date"))
+    got = {r.override_id: r for r in content.override_training(o, f, content.open_rate_changes(o, sends), "2024-01-31 00:00:00").collect()}
+    assert set(got) == {f"o{i}" for i in range(1, 7)}  # the old one counts for its assignee only
+    assert (got["o1"].total_overrides, got["o1"].successful, got["o1"].open_rate_delta) == (7, 1, 0.25)
+    assert [got[f"o{i}"].training_priority for i in (1, 3, 6)] == ["HIGH_COST_MISTAKE", "STANDARD_SIGNAL", "STANDARD_SIGNAL"] and got["o6"].result is None
+    best = content.override_impacts(f).first()
+    assert [x.delta for x in best.impacts] == [50.0, -11.0, -11.0, -1.0, -1.0] and best.overrides == 6
+
+
+def test_export_blocks_levels_by_page_type_and_falls_back(spark):
+    pages = ["main", "vip", "free", "other"]
+    ranked = spark.createDataFrame([("a", f"a__{p}", p, i, 10, 0, "t", 1, True, True, "r", 50.0, "c", False, 1) for i, p in enumerate(pages)],
+        "account string, account_page string, page_type string, day int, hod int, slot_rank int, template string, rank int, cooldown_ok boolean, dedupe_ok boolean, reason string, score_100 double, category string, cold_start boolean, days_since_used int")
+    ranked = ranked.withColumn("date_local", F.date_add(F.to_date(F.lit("2024-01-31")), F.col("day")))
+    accounts = spark.createDataFrame([("a", "low", "S")], "account string, tier string, assignee string")
+    def templates_of(level):
+        rows = slots.schedule_export(ranked, spark.createDataFrame([("t", "some copy", level)], "template string, body string, level string"), accounts, ("bad",), blocked_levels=(("main", "high"),))
+        return {r.page_type: (r.template, r.reason) for r in rows.where("ladder_position = 3").collect()}
+
+    assert templates_of("low") == dict.fromkeys(pages, ("t", "r"))
+    assert templates_of("high") == dict.fromkeys(pages, ("t", "r")) | {"main": ("FALLBACK_001", "compliance_filtered")}
+    blocked = slots.schedule_export(ranked, spark.createDataFrame([("t", "so BAD")], "template string, body string"), accounts, ("bad",))
+    found = {r.page_type: (r.template, float(r.price)) for r in blocked.where("ladder_position = 3").collect()}
+    assert found == {"main": ("FALLBACK_001", 15.5), "vip": ("FALLBACK_002", 21.0), "free": ("FALLBACK_003", 20.99), "other": (None, 20.99)}
