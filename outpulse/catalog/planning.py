@@ -540,13 +540,14 @@ def _band(which: int) -> str:
 
 @product(
     "schedule_export",
-    "account date_local:d day_name slot send_time price:r ladder_position:i template preview score:r reason slot_note",
+    "account date_local:d day_name slot send_time price:r ladder_position:i template preview score:r reason slot_note details",
     f"""SELECT *, round(price0 + [-1, 0, 1, 2, -2][ladder_position] * step, 2) AS price FROM (SELECT w.account, w.page_type, date_local, hod, slot_rank, strftime(date_local, '%a') AS day_name, 'Slot ' || (slot_rank + 1) AS slot,
         strftime(CAST(date_local AS TIMESTAMP) + to_hours(hod) + to_minutes({_jitter(10, 'a.account_page', "strftime(date_local, '%Y%m%d')", 'hod')}), '%H:%M') AS send_time,
-        CASE WHEN NOT blocked AND cooldown_ok AND dedupe_ok THEN template ELSE CASE w.page_type WHEN 'main' THEN 'FALLBACK_001' WHEN 'vip' THEN 'FALLBACK_002' END END AS template,
+        CASE WHEN NOT blocked AND cooldown_ok AND dedupe_ok THEN template ELSE CASE w.page_type WHEN 'main' THEN 'FALLBACK_001' WHEN 'vip' THEN 'FALLBACK_002' WHEN 'free' THEN 'FALLBACK_003' END END AS template,
         substr(body, 1, 100) AS preview, round(coalesce(score_100, 0)) AS score,
         CASE WHEN blocked THEN 'compliance_filtered' WHEN NOT cooldown_ok THEN 'cooldown_override' WHEN NOT dedupe_ok THEN 'dedup_override' ELSE reason END AS reason,
         CASE WHEN slot_rank = 0 THEN 'Prime slot' WHEN slot_rank = 1 THEN 'Secondary peak' ELSE 'Coverage slot' END AS slot_note,
+        '{{' || concat_ws(',', '"category":"' || w.category || '"', '"cooldown_ok":' || cooldown_ok, '"dedupe_ok":' || dedupe_ok, '"cold_start":' || cold_start, '"days_since_used":' || days_since_used) || '}}' AS details,
         coalesce({_band(0)}, CASE w.page_type WHEN 'main' THEN 9.99 WHEN 'vip' THEN 14.99 END, 19.99)::DOUBLE AS price0, coalesce({_band(1)}, 1.0)::DOUBLE AS step, unnest(range(1, 6)) AS ladder_position
       FROM (SELECT * FROM c_weighted WHERE rank = 1) w JOIN (SELECT *, regexp_matches(lower(body), 'worthless|pathetic') AS blocked FROM c_templates) t USING (template)
       JOIN c_accounts a USING (account))""",

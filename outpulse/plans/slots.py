@@ -405,21 +405,30 @@ def brief_rows(brief: DataFrame, users: DataFrame, user: str) -> DataFrame:
 PRICE_BANDS = {("high", "main"): (38.0, 3.0), ("high", "vip"): (50.0, 5.0), ("medium", "main"): (24.0, 2.0),
                ("medium", "vip"): (32.0, 3.0), ("low", "main"): (14.0, 1.5), ("low", "vip"): (19.0, 2.0)}
 LADDER = (-1.0, 0.0, 1.0, 2.0, -2.0)  # steps from the best price by position; the third is the canonical one
-FALLBACKS = {"main": ("FALLBACK_001", 9.99), "vip": ("FALLBACK_002", 14.99)}
+FALLBACKS = {"main": ("FALLBACK_001", 9.99), "vip": ("FALLBACK_002", 14.99), "free": ("FALLBACK_003", None)}  # no price: the default one
 
 
-def schedule_export(ranked: DataFrame, templates: DataFrame, accounts: DataFrame, blocked_words: tuple[str, ...], jitter_minutes: int = 10) -> DataFrame:
-    """Best compliant template per slot, or the fallback; five price steps and
-    a jittered send time; details as JSON."""
+def schedule_export(ranked: DataFrame, templates: DataFrame, accounts: DataFrame, blocked_words: tuple[str, ...], jitter_minutes: int = 10,
+                    blocked_levels: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """Best compliant template per slot, or the fallback of its page type; five price steps and
+    a jittered send time; details as JSON.
+
+    Copy is not compliant where it has a blocked word, or where its content level (column ``level``
+    of ``templates``, needed only then) is blocked for the page type.
+    """
     spark = ranked.sparkSession
     bands = spark.createDataFrame([(t, p, b, s) for (t, p), (b, s) in PRICE_BANDS.items()], "tier string, page_type string, best_price double, step double")
     falls = spark.createDataFrame([(p, t, x) for p, (t, x) in FALLBACKS.items()], "page_type string, fall_template string, fall_price double")
-    t = templates.select("template", F.substring("body", 1, 100).alias("preview"), F.lower("body").rlike("|".join(blocked_words)).alias("blocked"))
+    level = F.col("level") if blocked_levels else F.lit(None).cast("string")
+    t = templates.select("template", F.substring("body", 1, 100).alias("preview"), F.lower("body").rlike("|".join(blocked_words)).alias("blocked"), level.alias("level"))
     best = salted_lookup(ranked.where(F.col("rank") == 1), t, ["template"])
     best = salted_lookup(best, accounts.select("account", "tier", "assignee"), ["account"], "inner")
     best = best.join(bands, ["tier", "page_type"], "left").join(falls, "page_type", "left")
-    ok = ~F.coalesce("blocked", F.lit(False)) & F.col("cooldown_ok") & F.col("dedupe_ok")
-    reason = F.when(F.coalesce("blocked", F.lit(False)), "compliance_filtered").when(~F.col("cooldown_ok"), "cooldown_override").when(
+    blocked = F.coalesce("blocked", F.lit(False))
+    for page_type, barred in blocked_levels:
+        blocked = blocked | F.coalesce((F.col("page_type") == page_type) & (F.col("level") == barred), F.lit(False))
+    ok = ~blocked & F.col("cooldown_ok") & F.col("dedupe_ok")
+    reason = F.when(blocked, "compliance_filtered").when(~F.col("cooldown_ok"), "cooldown_override").when(
         ~F.col("dedupe_ok"), "dedup_override").otherwise(F.col("reason"))
     minute = jitter(-jitter_minutes, jitter_minutes, "account_page", F.date_format("date_local", "yyyyMMdd"), "hod")
     at = F.col("date_local").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("hod").cast("int"), mins=minute.cast("int"))
