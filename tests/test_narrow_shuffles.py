@@ -103,3 +103,16 @@ def test_pairs_at_slots_are_dealt_by_account_only(joined):
     assert len(rows) == 7 * 4 * 2 and {r.account for r in rows} == {"a0"}
     assert {r.categories for r in rows} == {2}
     assert {round(r.score_100, 6) for r in rows} <= {0.0, 100.0}
+
+
+def test_hours_of_the_next_day_are_not_dealt(joined):
+    store = joined.range(30).selectExpr(
+        "concat('p', id % 2) AS account_page", "concat('t', id) AS template", "named_struct('eligible', true) AS cooldown",
+        "named_struct('hours_since_use', 24, 'best_hour', 12) AS timing", "named_struct('rps_pct', (id div 4) / 10.0D) AS scores",
+        "named_struct('ucb', 1.0D) AS exploration", "named_struct('stability', 0.5D, 'rps_smoothed', 1.0D, 'confidence', 0.5D, 'sends_30d', 9L) AS performance")
+    df = rank.slot_ranking(store, AS_OF, rank.RankerParams(epsilon_percent=0))
+    assert not [k for k in dealt(df) if "slot_at" in k]
+    rows = df.where("hour(slot_at) = 0 AND slot_at = '2024-01-31 00:00:00' AND account_page = 'p0'").orderBy("rank").collect()
+    # Fifteen templates in pairs of equal scores, the last alone at the top.
+    assert [round(r.score_pct * 14) for r in rows] == [14, 12, 12, 10, 10, 8, 8, 6, 6, 4]
+    assert df.count() == 2 * 25 * 10
