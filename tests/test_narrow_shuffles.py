@@ -5,8 +5,8 @@ import re
 
 import pytest
 
-from outpulse.operators import ranking
-from outpulse.plans import rank, slots
+from outpulse.operators import joins, ranking
+from outpulse.plans import advice, rank, slots
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -116,3 +116,33 @@ def test_hours_of_the_next_day_are_not_dealt(joined):
     # Fifteen templates in pairs of equal scores, the last alone at the top.
     assert [round(r.score_pct * 14) for r in rows] == [14, 12, 12, 10, 10, 8, 8, 6, 6, 4]
     assert df.count() == 2 * 25 * 10
+
+
+def test_packed_lookup_is_a_left_join(joined):
+    left = joined.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("a", None), ("b", 1), (None, 1)], "k string, h long")
+    right = joined.createDataFrame([("a", 1, 5.0), ("a", 1, None), ("a", None, 7.0), (None, 1, 8.0), ("c", 1, 9.0)], "k string, h int, v double")
+    for keys in (["h"], ["h", "g"]):
+        l, r = left.withColumn("g", left.h), right.withColumn("g", right.h)
+        l, r = (l, r) if len(keys) > 1 else (l.drop("g"), r.drop("g"))
+        want, got = l.join(r, ["k", *keys], "left"), joins.packed_lookup(l, r, ["k"], keys)
+        key = lambda row: str(row.asDict())
+        cols = sorted(want.columns)
+        assert sorted(got.columns) == cols and sorted(map(key, got.select(cols).collect())) == sorted(map(key, want.select(cols).collect()))
+    assert "k" in dealt(got)  # the left rows are dealt by the first key alone
+
+
+def test_week_with_scores_is_dealt_by_few_keys(joined):
+    p = plan(joined)
+    hod = p.where("account = 'a0' AND date_local = '2024-01-31' AND slot_rank = 0").first().hod
+    projections = joined.createDataFrame([("a0__main", dt.datetime(2024, 1, 31, hod), 1.0, 30.0)], "account_page string, slot_at timestamp_ntz, lift double, opportunity double")
+    volume = joined.createDataFrame([(f"a{i}", 3) for i in range(3)], "account string, recommended int")
+    weekday = joined.createDataFrame([(f"a{i}", d, 2) for i in range(2) for d in range(1, 8)], "account string, weekday int, weekday_volume int")
+    timing = joined.createDataFrame([("a0", 10, hod, 0.5)], "account string, risk int, common_hour int, common_ratio double")
+    df = advice.enhanced_plan(p, volume, weekday, timing, projections)
+    joins_on = re.findall(r"SortMergeJoin \[(.*?)\]", re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString()))
+    assert joins_on and not [k for k in joins_on if "weekday" in k or "hod" in k]
+    rows = df.collect()
+    assert len(rows) == p.count()
+    found = [r for r in rows if r.opportunity is not None]
+    assert {(r.account, str(r.date_local), r.hod) for r in found} == {("a0", "2024-01-31", hod)} and {r.slot_risk for r in found} == {"HIGH_RISK"}
+    assert {r.volume_score for r in rows if r.account == "a2"} == {1.0}
