@@ -146,3 +146,18 @@ def test_week_with_scores_is_dealt_by_few_keys(joined):
     found = [r for r in rows if r.opportunity is not None]
     assert {(r.account, str(r.date_local), r.hod) for r in found} == {("a0", "2024-01-31", hod)} and {r.slot_risk for r in found} == {"HIGH_RISK"}
     assert {r.volume_score for r in rows if r.account == "a2"} == {1.0}
+
+
+def test_copy_of_other_accounts_is_found_without_dealing_hours(joined):
+    at = lambda h: dt.datetime(2024, 1, 31, h)
+    pre = joined.createDataFrame(
+        [("p", at(3), "t", 5.0, 1.0), ("q", at(9), "u", 5.0, 1.0), ("q", at(9), "t", 1.0, 1.0), ("q", at(10), "t", 9.0, 1.0), ("q", at(12), "t", 1.0, 1.0), ("q", at(12), "u", 2.0, 1.0),
+         ("r", at(17), "t", 1.0, 1.0), ("r", at(17), "v", 2.0, 1.0), ("s", None, "t", 1.0, 1.0)],
+        "account_page string, slot_at timestamp_ntz, template string, preliminary double, rps_eb double")
+    df = rank.diverse_ranking(pre, stable=True)
+    # Rows are dealt by template, once; the rank in the day is taken there.
+    assert not [k for k in dealt(df) if "hour_no" in k or "to_date" in k or "cast(slot_at as date)" in k]
+    got = {(r.account_page, r.slot_at and r.slot_at.hour, r.template): (r.conflict, r.same_day_rank) for r in df.collect()}
+    assert got == {
+        ("p", 3, "t"): (False, 1), ("q", 9, "u"): (False, 1), ("q", 9, "t"): (True, 2), ("q", 10, "t"): (False, 1), ("q", 12, "t"): (False, 3),
+        ("q", 12, "u"): (False, 2), ("r", 17, "t"): (False, 1), ("r", 17, "v"): (False, 1), ("s", None, "t"): (False, 1)}
