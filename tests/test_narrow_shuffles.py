@@ -161,3 +161,21 @@ def test_copy_of_other_accounts_is_found_without_dealing_hours(joined):
     assert got == {
         ("p", 3, "t"): (False, 1), ("q", 9, "u"): (False, 1), ("q", 9, "t"): (True, 2), ("q", 10, "t"): (False, 1), ("q", 12, "t"): (False, 3),
         ("q", 12, "u"): (False, 2), ("r", 17, "t"): (False, 1), ("r", 17, "v"): (False, 1), ("s", None, "t"): (False, 1)}
+
+
+def test_overrides_of_aliases_meet_before_the_pages(joined):
+    pages = joined.createDataFrame([("a", "main", "x"), ("a", "main", "x"), ("b", "vip", None), ("c", "vip", "z"), ("d", "free", "w"), (None, "free", "v")], "account string, page_type string, assignee string")
+    aliases = joined.createDataFrame([("a", "c"), ("b", None), ("e", "a"), (None, "a")], "account string, resolved string")
+    overrides = joined.createDataFrame([("c", "lead"), ("b", "boss"), ("a", "none"), (None, "nobody")], "account string, assignee string")
+    df = slots.with_overrides(pages, aliases, overrides)
+    assert not [k for k in dealt(df) if "coalesce(resolved, account)" in k]
+    got = sorted((str(r.account), r.account_page, r.assignee) for r in df.collect())
+    assert got == [("None", "free", "v"), ("b", "b__vip", "boss"), ("c", "c__main", "lead"), ("c", "c__main", "lead"), ("c", "c__vip", "lead"), ("d", "d__free", "w")]
+
+
+def test_hours_of_a_week_are_not_interpreted(joined):
+    text = plan(joined)._jdf.queryExecution().optimizedPlan().toString()
+    # Lambdas are left for copies of a repeated account and the hours of its weekday alone.
+    assert "arraymin" not in text.lower() and "array_min" not in text.lower()
+    days = [(r.slot_rank, r.hod) for r in plan(joined).where("account = 'a0' AND date_local = '2024-01-31'").orderBy("slot_rank").collect()]
+    assert len(days) == 4 and len({h for _, h in days}) == 4
