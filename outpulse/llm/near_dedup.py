@@ -23,6 +23,7 @@ COORDINATES = BANDS * ROWS
 WORDS = 12  # 64-bit words of a set's parities
 BLOCK, BLOCK_SHINGLES = 256, 1 << 18  # nodes, and shingles of their sets, that travel together
 LEADERS = 4  # nodes of each bucket that its members are first linked to
+TASK_ROWS = 20_000  # narrow rows that one task may well write
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Chances of at most 0, 1, 2, ... darts in a region of measure one.
 POISSON = np.cumsum(np.exp(-1) / np.cumprod([1, *range(1, 16)]))
@@ -159,12 +160,18 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return by_batch(chosen, "node long, set array<int>", work).dropDuplicates(["node"])
 
 
+def saved_narrow(df: DataFrame, rows: int) -> DataFrame:
+    """``saved`` in no more files than about ``rows`` narrow rows need; the next shuffle then has as few map tasks."""
+    return saved(df.coalesce(max(1, -(-rows // TASK_ROWS))))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``comp``, the least node it is connected with, for all nodes with an edge but the least ones.
 
     Large and small stars in turn until nothing changes: each round only joins
     edges with minima, so a node with a third of all edges is met by partial
-    sums and split joins.
+    sums and split joins.  No round makes more edges than it was given, so their
+    number says how many files they need.
     """
     e = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     told = None
@@ -175,10 +182,23 @@ def components(edges: DataFrame) -> DataFrame:
         told = state
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = saved(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = saved_narrow(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), state[0])
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = saved(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        e = saved_narrow(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), state[0])
+
+
+def component_of(frame: DataFrame, comps: DataFrame, node: str, out: str) -> DataFrame:
+    """``frame`` with the component ``out`` of its column ``node``; a node that ``comps`` lacks is its own."""
+    found = comps.select(F.col("node").alias(node), F.col("comp").alias(out))
+    return frame.join(found, node, "left").withColumn(out, F.coalesce(out, node))
+
+
+def further_components(comps: DataFrame, linked: DataFrame) -> DataFrame:
+    """``comps`` after the links (a, b) besides: only components are met, a component being its least node."""
+    ends = component_of(component_of(linked, comps, "a", "p"), comps, "b", "q")
+    more = components(ends.select(F.col("p").alias("a"), F.col("q").alias("b")))
+    return component_of(comps, more, "comp", "now").select("node", F.col("now").alias("comp")).unionByName(more)
 
 
 def close(x: str, y: str) -> Column:
@@ -205,7 +225,7 @@ def blocks_of(held: DataFrame, nodes: DataFrame) -> DataFrame:
     for _ in range(2):
         least = held.select("node", "band").join(labels, "node").groupBy("band").agg(F.min("label").alias("label"))
         labels = held.select("node", "band").join(least, "band").groupBy("node").agg(F.min("label").alias("label"))
-    labels = saved(labels.join(nodes.select("node", F.get("bits", F.lit(WORDS)).alias("size")), "node"))
+    labels = saved_narrow(labels.join(nodes.select("node", F.get("bits", F.lit(WORDS)).alias("size")), "node"), nodes.count())
     pool = max(1, labels.count() // BLOCK)
     parts = labels.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).alias("parts"))
     cut = F.xxhash64("label", F.pmod(F.xxhash64("node"), F.col("parts")))
@@ -280,7 +300,8 @@ def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = nodes.where("rep IS NOT NULL").select("node", F.posexplode("bands").alias("i", "band"))
     buckets = rows.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n"), F.array(*[F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(1, LEADERS)]).alias("others")).where("n > 1")
     held = saved(rows.join(buckets, "band"))
-    near = saved(nodes.select("node", "bits").join(blocks_of(held, nodes), "node"))
+    count = nodes.count()
+    near = saved_narrow(nodes.select("node", "bits").join(blocks_of(held, nodes), "node"), count)
     star = held.select("node", F.explode(F.array_distinct(F.concat(F.array("first"), "others"))).alias("leader")).where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared"))
     star = star.join(near.select("node", F.col("bits").alias("x"), F.col("block").alias("a_block")), "node")
     star = star.join(near.select(F.col("node").alias("leader"), F.col("bits").alias("y"), F.col("block").alias("b_block")), "leader")
@@ -289,14 +310,11 @@ def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     sets = saved(shingle_sets(docs, wanted))
 
     best = star.groupBy("a").agg(F.max_by(F.struct("b", "a_block", "b_block"), F.struct("shared", "b")).alias("x")).select("a", "x.*")
-    edges = saved(links(best, sets))
-    comps = components(edges)
-    of = lambda frame, node, out: frame.join(comps.select(F.col("node").alias(node), F.col("comp").alias(out)), node, "left").withColumn(out, F.coalesce(out, node))
-    rest = of(of(star.join(best.select("a", "b"), ["a", "b"], "left_anti"), "a", "p"), "b", "q").where("p <> q")
-    edges = saved(edges.unionByName(links(rest, sets)))
-    comps = components(edges)
-
-    placed = saved(of(of(held.drop("others"), "node", "comp"), "first", "main").select("i", "band", "node", "comp", "n", (F.col("comp") != F.col("main")).alias("apart")))
+    comps = components(links(best, sets))
+    rest = component_of(component_of(star.join(best.select("a", "b"), ["a", "b"], "left_anti"), comps, "a", "p"), comps, "b", "q").where("p <> q")
+    comps = saved_narrow(further_components(comps, links(rest, sets)), count)
+
+    placed = saved(component_of(component_of(held.drop("others"), comps, "node", "comp"), comps, "first", "main").select("i", "band", "node", "comp", "n", (F.col("comp") != F.col("main")).alias("apart")))
     mixed_buckets = placed.where("apart").select("band").distinct()
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
     placed = placed.join(mixed_buckets, "band", "left_semi").join(near, "node").join(nodes.select("node", "bands"), "node").withColumn("parts", parts)
@@ -305,7 +323,7 @@ def node_classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     earliest = F.array_position(F.zip_with("xb", "yb", lambda m, n: m == n), True) == F.col("i") + 1
     same = (F.col("band") == F.col("band_")) & (F.col("part") == F.col("part_"))
     cross = r.join(t, same & (F.col("p") != F.col("q")) & (~F.col("also") | (F.col("a") < F.col("b"))) & close("x", "y") & earliest)
-    return components(edges.unionByName(links(cross.select("a", "b", "a_block", "b_block"), sets)))
+    return further_components(comps, links(cross.select("a", "b", "a_block", "b_block"), sets))
 
 
 def classes(docs: DataFrame) -> DataFrame:

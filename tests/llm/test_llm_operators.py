@@ -255,6 +255,38 @@ def test_signature_estimates_weighted_likeness():
     assert len(set(near_dedup.signature(e[:1]).tolist())) == near_dedup.COORDINATES
 
 
+def test_components_of_few_edges_take_few_files(spark):
+    rnd = random.Random(3)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(120)] + [(400, i) for i in range(330, 390)]
+    more = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(40)]
+
+    def least(pairs):
+        at = {x: x for p in pairs for x in p}
+        for _ in at:
+            for a, b in pairs:
+                at[a] = at[b] = min(at[a], at[b])
+        return {x: c for x, c in at.items() if x != c}
+
+    def told(frame):
+        return {r.node: r.comp for r in frame.collect()}
+
+    first, then = (spark.createDataFrame(x, "a long, b long") for x in (edges, more))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = near_dedup.components(first)
+        assert found.rdd.getNumPartitions() == 1  # a file per shuffle partition and round before
+        assert told(found) == least(edges)
+        assert told(near_dedup.further_components(found, then)) == least(edges + more)
+        assert told(near_dedup.further_components(found, then.limit(0))) == least(edges)
+        assert told(near_dedup.further_components(first.limit(0).selectExpr("a node", "b comp"), then)) == least(more)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_classes_equal_brute_force(spark):
     rnd = random.Random(4)
     vocabulary_ = ["".join(rnd.choice("abcdefg") for _ in range(5)) for _ in range(400)]
