@@ -547,6 +547,40 @@ def test_search_is_exact(spark, monkeypatch):
         assert [s for s, _ in found] == pytest.approx([s for s, _ in want[q]])
 
 
+def postings(rnd, n, terms):
+    """A shard of ``n`` documents over few frequent and many rare terms, some documents repeated."""
+    docs = [Counter(int(min(terms - 1, rnd.expovariate(0.02))) for _ in range(rnd.choice([1, 30, 150]))) for _ in range(n - 40)]
+    docs += docs[:40]
+    found = sorted({t for d in docs for t in d})
+    held = [[(i, d[t]) for i, d in enumerate(docs) if t in d] for t in found]
+    ids = rnd.sample(range(10 * n), n)
+    flat = np.array([x for h in held for x in h], "<u4")
+    return docs, search.Shard(ids, [sum(d.values()) for d in docs], found, [len(h) for h in held], flat[:, 0].tobytes(), flat[:, 1].tobytes(), 50.0)
+
+
+def test_shard_multiplies_frequent_terms_for_many_queries_and_stays_exact():
+    rnd = random.Random(5)
+    docs, shard = postings(rnd, 700, 400)
+    assert 0 < len(shard.rows) < len(shard.terms)
+    asked = [sorted(d) for d in docs[::23]] + [[int(shard.terms[-1]), 10**6]]
+    place = [np.array([np.searchsorted(shard.terms, t) if t in shard.terms else -1 for t in q]) for q in asked]
+    weight = [np.array([rnd.random() + 0.1 for _ in q]) for q in asked]
+    cuts = np.concatenate([[0], np.cumsum([len(q) for q in asked])])
+    known = shard.frequent(np.concatenate(place), np.concatenate(weight), cuts)
+    for p, w, of in zip(place, weight, known):
+        want = np.zeros(shard.n)
+        for t, x in zip(p, w):
+            if t >= 0:
+                own = slice(shard.start[t], shard.start[t + 1])
+                want[shard.docs[own]] += shard.part[own] * x
+        best = np.lexsort((shard.doc_ids, -want))[:10]
+        best = best[want[best] > 0]
+        for floor in (0.0, want[best[len(best) // 2]]):
+            hold = best[want[best] >= floor]
+            for rows, scores in (shard.search(p, w, 10, floor, of), shard.search(p, w, 10, floor)):
+                assert rows.tolist() == hold.tolist() and scores.tolist() == want[hold].tolist()
+
+
 def test_search_edges(edges, nothing):
     got = search.top_k(edges, edges.where("doc_id = 1")).collect()
     assert [(r.query_id, r.rank, r.doc_id) for r in got][:2] == [(1, 1, 1), (1, 2, 1)]
