@@ -163,6 +163,20 @@ def test_likeness_from_fingerprints_alone(spark):
         assert r.again == r.near_edited
 
 
+def test_likeness_of_fingerprints_is_exact():
+    """Whatever differs: few digests of many, all of them, texts of very different lengths, repeated paragraphs."""
+    rnd = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(500)]
+    base = ["", "a b c. " * 40] + [" ".join(rnd.choice(vocabulary) for _ in range(n)) for n in (1, 9, 40, 150, 700, 700, 5000, 30000) for _ in range(5)]
+    other = [" ".join(rnd.choice(vocabulary) if rnd.random() < r else w for w in t.split(" ")) for t in base for r in (0, 0.01, 0.1, 1)]
+    one, two = (fingerprint.Ladders.read(fingerprint.fingerprints(fingerprint.Digests(x))) for x in (base, other))
+    pairs = [(i, j) for i in range(len(base)) for j in {*range(4 * i, 4 * i + 4), *rnd.sample(range(len(other)), 4)}]
+    for (i, j), got in zip(pairs, fingerprint.ladder_likeness(one, *np.array(pairs).T[:1], two, *np.array(pairs).T[1:])):
+        a, b = (Counter(fingerprint.paragraphs(t)) for t in (base[i], other[j]))
+        total = sum((a | b).values())
+        assert got == pytest.approx(sum((a & b).values()) / total if total else 1.0, abs=1e-12)
+
+
 def test_next_document(spark, edges, nothing):
     got = fingerprint.compare_with_next(edges).collect()
     order = sorted(EDGES, key=lambda x: (x[0] is None, -(x[0] or 0), x[1] or ""))
