@@ -1,6 +1,7 @@
 """What is many times the input (hours, slots, ranks) comes out after the shuffle, not before it."""
 
 import datetime as dt
+import random
 import re
 
 import pytest
@@ -179,3 +180,25 @@ def test_hours_of_a_week_are_not_interpreted(joined):
     assert "arraymin" not in text.lower() and "array_min" not in text.lower()
     days = [(r.slot_rank, r.hod) for r in plan(joined).where("account = 'a0' AND date_local = '2024-01-31'").orderBy("slot_rank").collect()]
     assert len(days) == 4 and len({h for _, h in days}) == 4
+
+
+def test_slots_of_the_week_are_compiled(joined):
+    """The JVM interprets methods of more than 8,000 bytes, whatever the rows."""
+    df = plan(joined)
+    df.collect()
+    debug = getattr(getattr(joined._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    found = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    assert found.length() > 0 and max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.length())) <= 8000
+
+
+def test_nearest_hour_is_that_of_all_candidates(spark):
+    rnd, rows, want = random.Random(3), [], {}
+    for n in range(400):
+        c = rnd.sample(range(24), rnd.choice([0, 1, 3, 16, 24]))
+        anchor, size = rnd.choice([None, *range(24)]), rnd.choice([1, 6, 24])
+        places = [c.index(h) + 1 if h in c else 0 for h in range(24)]
+        near = [h for h in range(24) if 0 < places[h] <= size]
+        rows.append((n, c, sum(1 << h for h in near), sum(1 << 23 - h for h in near), anchor))
+        want[n] = min(near, key=lambda h: (0 if anchor is None else abs(h - anchor), places[h]), default=None)
+    df = spark.createDataFrame(rows, "n int, c array<long>, usable int, mirrored int, anchor int")
+    assert {r.n: r.hod for r in slots.nearest_hour(df).collect()} == want
