@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from outpulse.catalog import planning
 from outpulse.operators import joins, ranking
 from outpulse.plans import advice, rank, slots
 
@@ -202,3 +203,31 @@ def test_nearest_hour_is_that_of_all_candidates(spark):
         want[n] = min(near, key=lambda h: (0 if anchor is None else abs(h - anchor), places[h]), default=None)
     df = spark.createDataFrame(rows, "n int, c array<long>, usable int, mirrored int, anchor int")
     assert {r.n: r.hod for r in slots.nearest_hour(df).collect()} == want
+
+
+def test_what_belongs_to_a_pair_is_worked_out_before_its_slots(joined):
+    perf = joined.createDataFrame(
+        [("a0", f"t{i}", 0.1 * i, 0.0, 0.0, 0.5, 1.0, False, 0.1, 0.5, 9) for i in range(4)],
+        "account string, template string, rps_z double, open_rate_z double, conversion_z double, rps double, novelty double, cold_start boolean, exploration double, rps_pct double, days_since_used int")
+    facts = joined.createDataFrame([("a0", "t1", dt.datetime(2024, 1, 2), dt.date(2024, 1, 2), 10, 1, 20.0, 20.0)],
+                                   "account string, template string, sent_at timestamp_ntz, sent_date date, sent long, purchased long, price double, earnings double")
+    accounts = joined.createDataFrame([("a0", "main", "grow")], "account string, page_type string, page_state string")
+    timing = joined.createDataFrame([("a0", 2, 9, 1.0)], "account string, dow int, hod int, score double")
+    copy = joined.createDataFrame([("t0", "x"), ("t1", "y"), ("t2", None), ("t3", "x")], "template string, category string")
+    df = rank.weighted_ranking(plan(joined).select("account", "date_local", "dow", "slot_rank", "hod"), perf, facts, accounts, timing, copy, AS_OF)
+    above = df._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[0].lower()
+    assert "date_format" not in above and "map(" not in above and "distinct" not in above
+    rows = df.collect()
+    assert {r.categories for r in rows} == {2} and len(rows) == 7 * 4 * 4
+
+
+def test_only_accounts_with_copy_are_planned_to_rank(spark, monkeypatch):
+    sends = spark.createDataFrame([("a1",), ("a1",)], "account string")
+    every = spark.createDataFrame([(f"a{i}",) for i in range(5)], "account string")
+    monkeypatch.setattr(planning.rk, "performance", lambda spark, d: sends)
+    monkeypatch.setattr(planning.src, "accounts", lambda spark, d: every)
+    monkeypatch.setattr(planning, "week_of", lambda spark, d, accounts: accounts)
+    folder = f"nowhere-{id(sends)}"
+    assert [r.account for r in planning.plan_to_rank(spark, folder).collect()] == ["a1"]
+    assert planning.plan(spark, folder).count() == 5
+    assert planning.plan_to_rank(spark, folder).count() == 5  # the stored week is read
